@@ -10,7 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quipyard.catalog.registry import Tables
-from quipyard.functions.text import BREAK, SPACE
+from quipyard.functions.text import SPACES
+
+# For SQL: character classes in RE2 syntax.
+SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in SPACES) + "]"
+BREAK = r"[\n-\r\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 
 TITLE = "<title>([^<]*)</title>"
 BODY = "(?s)<article>(.*)</article>"
@@ -38,14 +42,17 @@ def comments(t: Tables) -> DataFrame:
     )
 
 
-def details(t: Tables) -> DataFrame:
-    first = (
+def top_comments(t: Tables) -> DataFrame:
+    return (
         comments(t)
         .where("username = 'assistant'")
         .groupBy("url")
         .agg(F.min_by("comment_text", "comment_id").alias("top_comment_text"))
     )
-    return articles(t).join(first, "url", "left")
+
+
+def details(t: Tables) -> DataFrame:
+    return articles(t).join(top_comments(t), "url", "left")
 
 
 def pages(t: Tables) -> DataFrame:

@@ -13,6 +13,7 @@ from quipyard.catalog.adapters import (
     sql_hash,
     sql_prompt,
     sql_suitable,
+    top_comments,
 )
 from quipyard.catalog.registry import Tables, query
 from quipyard.functions import votes
@@ -47,7 +48,7 @@ DPO_CTES = (_TOP, _WORST, _DPO)
 
 
 def dpo_dataset(t: Tables) -> DataFrame:
-    return datasets.build_dpo_dataset(comments(t), details(t), excluded=EXCLUDED)
+    return datasets.build_dpo_dataset(comments(t), articles(t), top_comments(t), excluded=EXCLUDED)
 
 
 def sft_dataset(t: Tables) -> DataFrame:

@@ -11,21 +11,10 @@ SPACES = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# The subset of them at which Python's str.splitlines() breaks.
-LINE_BREAKS = "\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
-
-
-def char_class(chars: str) -> str:
-    """Regex class of exactly these characters, in the syntax Java and RE2 share."""
-    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]"
-
-
-SPACE = char_class(SPACES)
-BREAK = char_class(LINE_BREAKS)
-_INLINE = char_class("".join(c for c in SPACES if c not in LINE_BREAKS))
-# Whitespace around at least one line break. The look-behind lets a match start
-# only where a run of blanks starts, which keeps long runs linear.
-_LINE_GAP = f"(?<!{_INLINE}){_INLINE}*+{BREAK}{SPACE}*+"
+# The same set as a Java pattern (Unicode white space and four separators), and the
+# subset at which str.splitlines() breaks; predefined classes match fastest.
+_SPACES = r"(?U)[\s\x1c-\x1f]+"
+_LINE_BREAK = r"[\v\x1c-\x1e]"
 
 
 def strip(text: Column) -> Column:
@@ -36,10 +25,9 @@ def strip(text: Column) -> Column:
 def words(text: Column, limit: int | None = None) -> Column:
     """Words between whitespace; with `limit`, splitting stops after the first words."""
     if limit is None:
-        parts = F.split(text, f"{SPACE}+", -1)
-        return F.array_remove(parts, "")
+        return F.array_remove(F.split(text, _SPACES, -1), "")
     # One extra part for a blank before the first word, one for the unsplit rest.
-    parts = F.split(text, f"{SPACE}+", limit + 2)
+    parts = F.split(text, _SPACES, limit + 2)
     return F.slice(F.array_remove(parts, ""), 1, limit)
 
 
@@ -67,12 +55,9 @@ def char_prefix(text: Column, num_chars: int = 600) -> Column:
 
 
 def normalize_lines(text: Column) -> Column:
-    """Trim every line, drop blank lines, join the rest with one line feed.
-
-    Whitespace that holds a line break separates two kept lines, so it becomes a
-    single line feed; any other whitespace lies within a line and stays.
-    """
-    return F.regexp_replace(strip(text), F.lit(_LINE_GAP), F.lit("\n"))
+    """Trim every line, drop blank lines, join the rest with one line feed."""
+    lines = F.transform(F.split(text, _LINE_BREAK, -1), strip)
+    return F.array_join(F.array_remove(lines, ""), "\n")
 
 
 def paragraphs(text: Column) -> Column:

@@ -1,70 +1,108 @@
 """Exact positions in a global order without a global sort.
 
-A rank limit becomes a key limit: counting keys in ever finer buckets finds the
-key that holds a wanted rank. Every pass reads one column, aggregates before the
-shuffle and returns at most FANOUT counts per wanted rank to the driver. The
+A rank limit becomes a key limit: counting keys in ever finer buckets closes in on
+the key that holds a wanted rank. Every pass reads one column, aggregates before
+the shuffle and returns at most FANOUT counts per wanted rank to the driver; once
+no more than FANOUT keys are left for a rank, one last pass fetches those. The
 result is then a plain comparison per row: no shuffle, no single-task window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FANOUT = 1024
+FANOUT = 4096
+
+
+@dataclass(frozen=True)
+class _Span:
+    """Keys from low to high, `rows` of them, all wanted keys among them."""
+
+    low: int
+    high: int
+    rows: int
+
+    @property
+    def width(self) -> int:
+        """Keys per bucket."""
+        return -(-(self.high - self.low + 1) // FANOUT)
+
+    @property
+    def is_open(self) -> bool:
+        return self.low < self.high and self.rows > FANOUT
+
+
+def _whole_keys(df: DataFrame, key: Column) -> DataFrame:
+    return df.select(key.cast("bigint").alias("k")).where("k IS NOT NULL")
+
+
+def _whole_span(keys: DataFrame) -> _Span | None:
+    low, high, rows = keys.agg(F.min("k"), F.max("k"), F.count("k")).first()
+    return _Span(low, high, rows) if rows else None
 
 
 def keys_at_ranks(df: DataFrame, key: Column, ranks: Sequence[int]) -> list[int]:
     """The r-th smallest whole-number key for each 1-based rank r."""
-    keys = df.select(key.cast("bigint").alias("k")).where("k IS NOT NULL")
-    low, high = keys.agg(F.min("k"), F.max("k")).first()
-    if low is None:
+    keys = _whole_keys(df, key)
+    whole = _whole_span(keys)
+    if whole is None:
         raise ValueError("no rows to rank")
-    # rank -> (lowest candidate, highest candidate, rank within the candidates)
-    open_ranks = {r: (low, high, r) for r in ranks}
-    while any(lo < hi for lo, hi, _ in open_ranks.values()):
-        spans = sorted({(lo, hi) for lo, hi, _ in open_ranks.values() if lo < hi})
-        counts = _bucket_counts(keys, spans)
-        for r, (lo, hi, left) in open_ranks.items():
-            if lo < hi:
-                open_ranks[r] = _narrow(counts[(lo, hi)], lo, hi, left)
-    return [open_ranks[r][0] for r in ranks]
+    return _find(keys, whole, ranks)
 
 
-def _width(lo: int, hi: int) -> int:
-    return -(-(hi - lo + 1) // FANOUT)
+def _find(keys: DataFrame, whole: _Span, ranks: Sequence[int]) -> list[int]:
+    # Per wanted rank: the span that holds it, and its rank within the span.
+    at = [(whole, r) for r in ranks]
+    while any(span.is_open for span, _ in at):
+        counts = _bucket_counts(keys, {span for span, _ in at if span.is_open})
+        at = [_narrow(span, left, counts[span]) if span.is_open else (span, left) for span, left in at]
+    few = _fetch(keys, {span for span, _ in at if span.low < span.high})
+    return [span.low if span.low == span.high else few[span][left - 1] for span, left in at]
 
 
-def _bucket_counts(keys: DataFrame, spans: list[tuple[int, int]]) -> dict[tuple[int, int], dict[int, int]]:
-    """Rows per bucket for spans that do not overlap."""
+def _in_spans(keys: DataFrame, spans: Sequence[_Span], value: str) -> DataFrame:
+    """(s, v) for keys in span number s; spans do not overlap."""
     cases = " ".join(
-        f"WHEN k BETWEEN {lo}L AND {hi}L THEN named_struct('s', {i}, 'b', (k - {lo}L) DIV {_width(lo, hi)}L)"
-        for i, (lo, hi) in enumerate(spans)
+        f"WHEN k BETWEEN {s.low}L AND {s.high}L THEN "
+        f"named_struct('s', {i}, 'v', {value.format(low=s.low, width=s.width)})"
+        for i, s in enumerate(spans)
     )
-    rows = (
-        keys.select(F.expr(f"CASE {cases} END").alias("at"))
-        .where("at IS NOT NULL")
-        .groupBy("at.s", "at.b")
-        .count()
-        .collect()
-    )
-    counts: dict[tuple[int, int], dict[int, int]] = {span: {} for span in spans}
-    for s, b, n in rows:
-        counts[spans[s]][b] = n
+    return keys.select(F.expr(f"CASE {cases} END").alias("at")).where("at IS NOT NULL").select("at.*")
+
+
+def _bucket_counts(keys: DataFrame, wanted: set[_Span]) -> dict[_Span, dict[int, int]]:
+    spans = sorted(wanted, key=lambda s: s.low)
+    counts: dict[_Span, dict[int, int]] = {s: {} for s in spans}
+    for i, bucket, n in _in_spans(keys, spans, "(k - {low}L) DIV {width}L").groupBy("s", "v").count().collect():
+        counts[spans[i]][bucket] = n
     return counts
 
 
-def _narrow(buckets: dict[int, int], lo: int, hi: int, left: int) -> tuple[int, int, int]:
-    for b in sorted(buckets):
-        if left <= buckets[b]:
-            start = lo + b * _width(lo, hi)
-            return start, min(start + _width(lo, hi) - 1, hi), left
-        left -= buckets[b]
+def _narrow(span: _Span, left: int, counts: dict[int, int]) -> tuple[_Span, int]:
+    for bucket in sorted(counts):
+        rows = counts[bucket]
+        if left <= rows:
+            low = span.low + bucket * span.width
+            return _Span(low, min(low + span.width - 1, span.high), rows), left
+        left -= rows
     raise ValueError("rank beyond the number of rows")
 
 
+def _fetch(keys: DataFrame, wanted: set[_Span]) -> dict[_Span, list[int]]:
+    """All keys of spans that hold FANOUT rows at most, in order."""
+    if not wanted:
+        return {}
+    spans = sorted(wanted, key=lambda s: s.low)
+    found: dict[_Span, list[int]] = {s: [] for s in spans}
+    for i, k in _in_spans(keys, spans, "k").collect():
+        found[spans[i]].append(k)
+    return {s: sorted(ks) for s, ks in found.items()}
+
+
 def chunk_sizes(rows: int, chunks: int) -> list[int]:
     """Near-equal sizes, the first ones get the remainder."""
     return [rows // chunks + (i < rows % chunks) for i in range(chunks)]
@@ -72,12 +110,12 @@ def chunk_sizes(rows: int, chunks: int) -> list[int]:
 
 def assign_chunks(df: DataFrame, position: str, chunks: int = 8) -> DataFrame:
     """Contiguous near-equal chunks by a unique whole-number position, numbered from 1."""
-    rows = df.where(F.col(position).isNotNull()).count()
-    sizes = [n for n in chunk_sizes(rows, chunks) if n]
-    if not sizes:
+    keys = _whole_keys(df, F.col(position))
+    whole = _whole_span(keys)
+    if whole is None:
         return df.withColumn("chunk", F.lit(None).cast("int"))
-    ends = [sum(sizes[: i + 1]) for i in range(len(sizes) - 1)]
-    cuts = keys_at_ranks(df, F.col(position), ends) if ends else []
+    sizes = [n for n in chunk_sizes(whole.rows, chunks) if n]
+    cuts = _find(keys, whole, [sum(sizes[: i + 1]) for i in range(len(sizes) - 1)])
     chunk = F.lit(len(sizes))
     for i in reversed(range(len(cuts))):
         chunk = F.when(F.col(position) <= cuts[i], F.lit(i + 1)).otherwise(chunk)

@@ -34,27 +34,35 @@ def build_sft_dataset(
     return matched.withColumn("title_article_text", title_and_text(F.col("title"), F.col("article_text"), separator))
 
 
-def build_dpo_dataset(
-    comments: DataFrame,
-    details: DataFrame,
+def article_prompts(
+    articles: DataFrame,
     separator: str = " ",
     excluded: Sequence[str] = EXCLUDED_WORDS,
     instruction: str = INSTRUCTION,
     num_chars: int = 600,
+) -> DataFrame:
+    """The articles that suit, with `prompt` in place of title and text."""
+    text = title_and_text(F.col("title"), F.col("article_text"), separator)
+    prompt = preference_prompt(text, instruction, num_chars)
+    return filter_articles(articles, excluded).withColumn("prompt", prompt).drop("title", "article_text")
+
+
+def build_dpo_dataset(
+    comments: DataFrame, details: DataFrame, top_comments: DataFrame | None = None, **prompt_options
 ) -> DataFrame:
     """Preference pairs, one per article.
 
     `chosen` is the top comment shown on the article page, while `chosen_pcu` and
     `chosen_pcd` belong to the comment with most up votes; the two may differ.
-    Pairs with equal texts stay in.
+    Pairs with equal texts stay in. Where the shown comments are a table of their
+    own (url, top_comment_text), they join the short prompts, not the texts.
     """
     pairs = top_worst_pairs(comments, ["comment_text", "pcu_value", "pcd_value"])
-    text = title_and_text(F.col("title"), F.col("article_text"), separator)
-    articles = filter_articles(details, excluded).select(
-        "url", preference_prompt(text, instruction, num_chars).alias("prompt"), "top_comment_text"
-    )
+    articles = article_prompts(details, **prompt_options)
+    if top_comments is not None:
+        articles = articles.join(top_comments, "url")
     dataset = select_renamed(
-        pairs.join(drop_null_in(articles, ["prompt", "top_comment_text"]), "url"),
+        pairs.join(articles.select("url", "prompt", "top_comment_text"), "url"),
         {
             "prompt": "prompt",
             "chosen": "top_comment_text",
