@@ -359,16 +359,19 @@ def generate_batch(t):
     return generation.generate(generation.generation_requests(articles(t)), _answer_with_length)
 
 
+_SHORT = sql_word_prefix(_TITLE_TEXT)
+
+
 @query(sql(f"""
-SELECT url, title, {sql_word_prefix(_TITLE_TEXT)} AS title_article_text, top_comment_text,
-       {_LENGTH_ANSWER} AS first_comment, prompt AS first_prompt,
-       right(prompt, 60) AS second_comment, prompt AS second_prompt
-FROM details JOIN generated USING (url)""", _GENERATED))
+SELECT url, title, {_SHORT} AS title_article_text, top_comment_text,
+       length(first_prompt) || ' characters at 0.5/0.7' AS first_comment, first_prompt,
+       right(second_prompt, 60) AS second_comment, second_prompt
+FROM (SELECT *, 'System Prompt:' || chr(10) || {_SYSTEM} || chr(10) || chr(10) || 'User Prompt:' || chr(10) || {_USER}
+        AS first_prompt, {_PROMPT} AS second_prompt FROM details, few_shot)""", _few_shot_cte(3)))
 def compare_generations(t):
-    requests = generation.generation_requests(articles(t))
-    first = generation.generate(requests, _answer_with_length)
-    second = generation.generate(requests, _answer_with_end)
-    return generation.compare_generations(details(t), first, second)
+    few_shot = batching.few_shot_block(examples(t), 3).scalar()
+    requests = generation.comparison_requests(details(t), few_shot)
+    return generation.compare_generations(requests, _answer_with_length, _answer_with_end)
 
 
 @query(f"""

@@ -1,44 +1,104 @@
 """Joins between comments, articles and generations.
 
-No side is broadcast by hint: Spark does so by itself below
-`spark.sql.autoBroadcastJoinThreshold` and otherwise sorts and merges, splitting
-skewed partitions at run time.
+No side is broadcast by hint unless its number of rows has a fixed bound: Spark
+does so by itself below `spark.sql.autoBroadcastJoinThreshold` and otherwise
+sorts and merges. Keys with very many rows are salted, as run-time skew handling
+only works where both sides come straight from a shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ROWS_PER_TASK = 1_000_000
+MAX_HOT_KEYS = 1000
+MAX_SALTS = 1000
+
+
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """(key, salts) for keys with more rows than one task should get; None if there are none.
+
+    Looks at the MAX_HOT_KEYS most frequent keys: any other key holds less than a
+    thousandth of the rows. Counts are aggregated before the shuffle.
+    """
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
+    most = counts.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).collect()
+    hot = [(r[key], min(-(-r["count"] // rows_per_task), MAX_SALTS)) for r in most if r["count"] > rows_per_task]
+    if not hot:
+        return None
+    kind = df.schema[key].dataType.simpleString()
+    return df.sparkSession.createDataFrame(hot, f"`{key}` {kind}, _salts INT")
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "inner",
+    also: tuple[str, str] | None = None,
+    spread_by: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """Join on `key`, and on `also` = (left column, right column) if given.
 
-def comments_with_articles(comments: DataFrame, details: DataFrame) -> DataFrame:
+    Rows of a hot left key get a salt from a hash of `spread_by` (all columns by
+    default); the matching right rows are repeated once per salt, so each left row
+    meets each of its partners exactly once. For inner, left, left_semi and left_anti.
+    Where `left` is costly, `counted` is a table with the same keys to look for hot ones.
+    """
+    hot = hot_keys((left if counted is None else counted).select(key), key, rows_per_task)
+    on = [key]
+    if hot is not None:
+        # At most MAX_HOT_KEYS rows.
+        hot = F.broadcast(hot)
+        salts = F.coalesce(F.col("_salts"), F.lit(1))
+        columns = list(spread_by) or left.columns
+        salt = F.pmod(F.xxhash64(*columns), salts).cast("int")
+        left = left.join(hot, key, "left").withColumn("_salt", salt).drop("_salts")
+        every = F.explode(F.sequence(F.lit(0), salts - 1))
+        right = right.join(hot, key, "left").withColumn("_salt", every).drop("_salts")
+        on.append("_salt")
+    if also:
+        right = right.withColumn("_also", F.col(also[1]))
+        left = left.withColumn("_also", F.col(also[0]))
+        on.append("_also")
+    return left.join(right, on, how).drop("_salt", "_also")
+
+
+def comments_with_articles(comments: DataFrame, details: DataFrame, **salting) -> DataFrame:
     """Every comment with title, text and top comment of its article."""
-    return comments.join(details.select("url", "title", "article_text", "top_comment_text"), "url")
+    articles = details.select("url", "title", "article_text", "top_comment_text")
+    return salted_join(comments, articles, "url", **salting)
 
 
-def top_comment_matches(comments: DataFrame, details: DataFrame) -> DataFrame:
+def top_comment_matches(comments: DataFrame, details: DataFrame, **salting) -> DataFrame:
     """Comments whose text equals the top comment of their article.
 
-    The text is part of the join key, so the comments of a hot article spread
-    over all tasks instead of meeting in one.
+    The text is part of the join key, so only candidates for a match meet.
     """
-    right = details.select("url", "title", "article_text", "top_comment_text")
-    same = (comments["url"] == right["url"]) & (comments["comment_text"] == right["top_comment_text"])
-    return comments.join(right, same).select(comments["*"], "title", "article_text", "top_comment_text")
+    articles = details.select("url", "title", "article_text", "top_comment_text")
+    matched = salted_join(comments, articles, "url", also=("comment_text", "top_comment_text"), **salting)
+    return matched.select(*comments.columns, "title", "article_text", "top_comment_text")
 
 
-def uncommented_articles(articles: DataFrame, comments: DataFrame, username: str) -> DataFrame:
+def uncommented_articles(articles: DataFrame, comments: DataFrame, username: str, **salting) -> DataFrame:
     """Articles on which the user has not commented."""
     done = comments.where(F.col("username") == username).select("url").distinct()
-    return articles.join(done, "url", "left_anti")
+    return salted_join(articles, done, "url", "left_anti", **salting)
 
 
 def candidate_counts(articles: DataFrame, comments: DataFrame, username: str) -> DataFrame:
-    """One row: comments the user made on the given articles, and number of articles."""
-    per_url = (
-        comments.where(F.col("username") == username).groupBy("url").agg(F.count(F.lit(1)).alias("n"))
-    )
-    return articles.join(per_url, "url", "left").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("commented"),
-        F.count(F.lit(1)).alias("total"),
+    """One row: comments the user made on the given articles, and number of articles.
+
+    Both sides are counted per url before they meet.
+    """
+    made = comments.where(F.col("username") == username).groupBy("url").agg(F.count(F.lit(1)).alias("made"))
+    listed = articles.groupBy("url").agg(F.count(F.lit(1)).alias("listed"))
+    return listed.join(made, "url", "left").agg(
+        F.coalesce(F.sum(F.col("made") * F.col("listed")), F.lit(0)).cast("bigint").alias("commented"),
+        F.coalesce(F.sum("listed"), F.lit(0)).cast("bigint").alias("total"),
     )

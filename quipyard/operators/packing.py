@@ -41,7 +41,7 @@ def pack_sequences(
         buckets = min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
     place = hash32(F.col(key), seed)
     bucket = F.coalesce(F.floor(place * F.lit(buckets) / F.lit(float(1 << 32))).cast("int"), F.lit(0))
-    tokens = F.array_append(words(F.col(text)), F.lit(separator))
+    tokens = F.array_append(words(F.col("text")), F.lit(separator))
     rows = df.where(F.col(text).isNotNull()).select(
         bucket.alias("bucket"), place.alias("place"), F.col(key).alias("key"), F.col(text).alias("text")
     )

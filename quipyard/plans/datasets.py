@@ -17,7 +17,7 @@ from quipyard.operators.filters import (
     observed_filter,
     sft_votes_ok,
 )
-from quipyard.operators.joins import top_comment_matches
+from quipyard.operators.joins import salted_join, top_comment_matches
 from quipyard.operators.packing import pack_sequences
 from quipyard.operators.ranking import top_worst_pairs
 from quipyard.operators.sampling import SEED, TEST_SHARE, train_test_split
@@ -54,15 +54,19 @@ def build_dpo_dataset(
 
     `chosen` is the top comment shown on the article page, while `chosen_pcu` and
     `chosen_pcd` belong to the comment with most up votes; the two may differ.
-    Pairs with equal texts stay in. Where the shown comments are a table of their
-    own (url, top_comment_text), they join the short prompts, not the texts.
+    Pairs with equal texts stay in. The shown comments may be a table of their own
+    (url, top_comment_text) with one row per url.
     """
     pairs = top_worst_pairs(comments, ["comment_text", "pcu_value", "pcd_value"])
     articles = article_prompts(details, **prompt_options)
-    if top_comments is not None:
-        articles = articles.join(top_comments, "url")
+    if top_comments is None:
+        articles = articles.select("url", "prompt", "top_comment_text")
+    else:
+        articles = articles.select("url", "prompt")
+        pairs = pairs.join(top_comments, "url")
     dataset = select_renamed(
-        pairs.join(articles.select("url", "prompt", "top_comment_text"), "url"),
+        # One pair per url, but an article may have been captured many times.
+        salted_join(articles, pairs, "url", counted=details),
         {
             "prompt": "prompt",
             "chosen": "top_comment_text",

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quipyard.functions.prompts import (
     CHAT_PREFIX,
@@ -40,8 +41,10 @@ def generate(
     temperature: float = TEMPERATURE,
     top_p: float = TOP_P,
     batch_size: int = 64,
+    prompt: str = "prompt",
+    comment: str = "comment",
 ) -> DataFrame:
-    """(url, prompt, comment) for (url, prompt) rows.
+    """Add a generated `comment` to every row; all other columns stay.
 
     `make_generator` runs once per task and returns a function
     `(prompts, temperature, top_p) -> comments`. Store the result before using it
@@ -54,12 +57,13 @@ def generate(
         for batch in batches:
             for at in range(0, len(batch), batch_size):
                 part = batch.iloc[at : at + batch_size]
-                comments = generator(part["prompt"].tolist(), temperature, top_p)
+                comments = generator(part[prompt].tolist(), temperature, top_p)
                 if len(comments) != len(part):
                     raise ValueError(f"{len(part)} prompts but {len(comments)} comments")
-                yield part.assign(comment=comments)
+                yield part.assign(**{comment: comments})
 
-    return requests.select("url", "prompt").mapInPandas(run, "url STRING, prompt STRING, comment STRING")
+    schema = T.StructType([*requests.schema.fields, T.StructField(comment, T.StringType())])
+    return requests.mapInPandas(run, schema)
 
 
 def chat_requests(
@@ -106,12 +110,26 @@ def with_chat_request(
     )
 
 
-def compare_generations(articles: DataFrame, first: DataFrame, second: DataFrame, num_words: int = 300) -> DataFrame:
-    """Per article: title, text, its top comment, and both generations with their prompts."""
-    text = word_prefix(title_and_text(F.col("title"), F.col("article_text")), num_words)
-    shown = articles.select("url", "title", text.alias("title_article_text"), "top_comment_text")
+def compare_generations(
+    requests: DataFrame, make_first: Callable[[], Generator], make_second: Callable[[], Generator], **settings
+) -> DataFrame:
+    """Answers of two generators side by side, for rows with `first_prompt` and `second_prompt`.
+
+    One generator after the other works on the same rows, so nothing has to be joined.
+    """
+    once = generate(requests, make_first, prompt="first_prompt", comment="first_comment", **settings)
+    return generate(once, make_second, prompt="second_prompt", comment="second_comment", **settings)
 
-    def named(generated: DataFrame, side: str) -> DataFrame:
-        return generated.select("url", F.col("comment").alias(f"{side}_comment"), F.col("prompt").alias(f"{side}_prompt"))
 
-    return shown.join(named(first, "first"), "url").join(named(second, "second"), "url")
+def comparison_requests(articles: DataFrame, few_shot: Column, num_words: int = 300, **chat) -> DataFrame:
+    """What a reader compares by: title, text, top comment, and the prompts of chat and tuned model."""
+    text = word_prefix(title_and_text(F.col("title"), F.col("article_text")), num_words)
+    shown = articles.select("url", "title", text.alias("title_article_text"), "top_comment_text")
+    return shown.withColumns(
+        {
+            "first_prompt": audit_text(
+                chat_system_prompt(few_shot, **chat), chat_user_prompt(F.col("title_article_text"))
+            ),
+            "second_prompt": instruction_prompt(F.col("title_article_text")),
+        }
+    )

@@ -34,9 +34,8 @@ def _cell(value):
 _SAME_TYPES = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "BOOLEAN": "boolean"}
 
 
-def differences(spark, connection, name: str, folder: str) -> list[str]:
-    """What is not the same between query and SQL; empty if all is."""
-    found = contract.queries()[name](spark, folder)
+def differences(found, connection, name: str) -> list[str]:
+    """What is not the same between a query's result and its SQL; empty if all is."""
     rows = found.collect()
     relation = connection.sql(contract.oracle_sql()[name])
     expected = relation.fetchall()
@@ -74,7 +73,7 @@ def main() -> None:
             print(f"{name}: no SQL, {contract.queries()[name](spark, folder).count()} rows")
             continue
         try:
-            problems = differences(spark, connection, name, folder)
+            problems = differences(contract.queries()[name](spark, folder), connection, name)
         except Exception as error:
             problems = [f"{type(error).__name__}: {str(error)[:1500]}"]
         failed += bool(problems)

@@ -1,0 +1,197 @@
+import json
+import sys
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from quipyard.operators import batching, filters, scores
+from quipyard.plans import generation, review
+from quipyard.session import store
+from quipyard.streaming.review_log import read_generated_stream, start_review_log
+
+# Executors cannot import test modules.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+ARTICLES = "url STRING, title STRING, article_text STRING, top_comment_text STRING"
+EXAMPLES = "position INT, title_article_text STRING, comment STRING"
+
+
+@pytest.fixture
+def articles(table):
+    rows = [(f"u{i}", f"T{i}", f"text  of\n{i} " + "w " * 400, f"top {i}") for i in range(5)]
+    return table(ARTICLES, *rows)
+
+
+@pytest.fixture
+def examples(table):
+    return table(EXAMPLES, *[(i, f"E{i}: a\n b " + "x " * i * 200, f"ha {i}") for i in (4, 2, 1, 3)])
+
+
+def shortened(i):
+    return " ".join(f"T{i} text of {i} {'w ' * 400}".split()[:300])
+
+
+def echo():
+    return lambda prompts, temperature, top_p: [f"{len(p)}|{temperature}|{top_p}" for p in prompts]
+
+
+def test_generate_keeps_rows_together(articles):
+    requests = generation.generation_requests(articles)
+    rows = generation.generate(requests, echo, batch_size=2).collect()
+    assert {r.url for r in rows} == {f"u{i}" for i in range(5)}
+    for r in rows:
+        assert f"\n\n### Input:\n{shortened(r.url[1])}\n\n### Response:\n" in r.prompt
+        assert r.comment == f"{len(r.prompt)}|0.5|0.7"
+
+
+def test_generator_must_answer_every_prompt(articles):
+    with pytest.raises(PySparkException, match="prompts but 0 comments"):
+        generation.generate(generation.generation_requests(articles), lambda: lambda *a: []).collect()
+
+
+def test_compare_generations(articles):
+    requests = generation.comparison_requests(articles, F.lit("FEW"))
+    found = generation.compare_generations(requests, echo, lambda: lambda p, t, k: ["b"] * len(p))
+    rows = {r.url: r for r in found.collect()}
+    r = rows["u3"]
+    assert r.title_article_text == shortened(3) and r.top_comment_text == "top 3" and r.second_comment == "b"
+    assert r.first_comment == f"{len(r.first_prompt)}|0.5|0.7"
+    assert "FEW" in r.first_prompt and r.first_prompt.startswith("System Prompt:\n")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Join" not in plan
+
+
+def test_few_shot_blocks_are_prefixes(examples):
+    blocks = [batching.few_shot_block(examples, k).first().few_shot for k in (1, 2, 3, 4)]
+    assert all(longer.startswith(shorter) for shorter, longer in zip(blocks, blocks[1:]))
+    assert blocks[0] == f"### Article Summary: \n\n{' '.join(('E1: a b ' + 'x ' * 200).split())}\n\n### Comment:\n\nha 1\n\n"
+    assert blocks[3].count("### Comment:") == 4
+    with pytest.raises(PySparkException, match="asked for 5 examples, found 4"):
+        batching.few_shot_block(examples, 5).collect()
+
+
+def test_chat_requests(articles, examples):
+    found = generation.chat_requests(articles, examples, k=2, prefix="P")
+    rows = {r.url: r for r in found.collect()}
+    few = batching.few_shot_block(examples, 2).first().few_shot
+    assert len(rows) == 5
+    system, user = rows["u1"].messages
+    assert (system.role, system.content) == ("system", f"P\n\n{few}")
+    assert user.content == f"### Article Summary:\n\n{shortened(1)}\n\n### Comment:\n\n"
+    assert rows["u1"].prompt == f"System Prompt:\n{system.content}\n\nUser Prompt:\n{user.content}"
+    assert (rows["u1"].temperature, rows["u1"].top_p) == (0.7, 0.9)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_request_batches(table):
+    df = table("position BIGINT, t STRING", *[(i, f"t{i}") for i in range(7)])
+    rows = batching.request_batches(df, F.col("t"), "position", 3).orderBy("batch_id").collect()
+    assert [r.list_of_title_article_text for r in rows] == [["t0", "t1", "t2"], ["t3", "t4", "t5"], ["t6"]]
+    assert (rows[0].temperature, rows[0].top_p) == (0.5, 0.7)
+
+
+def test_settings_grid(table):
+    rows = batching.with_settings_grid(table("u STRING", ("a",), ("b",))).collect()
+    settings = [(p, t) for p in (0.9, 1.0, 1.1) for t in (1.0, 1.1)]
+    assert sorted((r.u, r.top_p, r.temperature) for r in rows) == sorted((u, *s) for u in "ab" for s in settings)
+
+
+def test_token_scores(table):
+    df = table("generation_id STRING, pos INT, token STRING, logprob DOUBLE", ("g", 0, "a", 0.0), ("g", 1, "b", -0.6931471805599453))
+    assert {r.token: r.percent for r in scores.with_token_probability(df).collect()} == {"a": "100.00%", "b": "50.00%"}
+    row = scores.mean_token_probability(df).first()
+    assert row.tokens == 2 and abs(row.mean_probability - 0.75) < 1e-12
+
+
+GENERATIONS = {
+    "good": "a decent comment of five words",
+    "five": "one two three four five",
+    "four": "one  two\tthree four",
+    "odd spaces": "one two three four　five",
+    "long": " ".join(["w"] * 300),
+    "too long": " ".join(["w"] * 301),
+    "heading": "this has ### a heading in it",
+    "leak": "this is the funniest comment of all",
+    "code": "look at this ``` code block here",
+    "missing": None,
+}
+GOOD = {"good", "five", "odd spaces", "long"}
+
+
+def test_review(table):
+    df = table("comment_id STRING, comment STRING", *GENERATIONS.items())
+    accepted, rejected = review.review_generations(df)
+    assert {r.comment_id for r in accepted.collect()} == GOOD
+    reasons = {r.comment_id: r.reasons for r in rejected.collect()}
+    assert set(reasons) == set(GENERATIONS) - GOOD
+    assert reasons["heading"] == ["contains ###"] and reasons["leak"] == ["contains funniest"]
+    assert reasons["four"] == ["too short"] and reasons["too long"] == ["too long"] and reasons["missing"] == ["missing"]
+    marked = df.withColumn("bad", filters.is_problem_comment(F.col("comment")))
+    assert {r.comment_id for r in marked.where("NOT bad").collect()} == GOOD
+
+
+def test_log_json(table):
+    from datetime import datetime
+
+    df = table("comment_id STRING, url STRING, comment STRING", ("1", "u", None))
+    records = review.log_records(df, F.lit(datetime(2024, 5, 6, 7, 8, 9)))
+    found = json.loads(review.log_json(records).first().json)
+    assert found == {"comment_id": "1", "url": "u", "comment": None, "datetime": "2024-05-06T07:08:09"}
+
+
+def write_events(path, name, rows):
+    path.mkdir(exist_ok=True)
+    lines = [
+        json.dumps({"comment_id": i, "url": "u", "comment": c, "datetime": "2024-01-01T00:00:00"}) for i, c in rows
+    ]
+    (path / name).write_text("\n".join(lines) + "\n")
+
+
+def test_streamed_log_is_idempotent(spark, tmp_path):
+    source, log, rejected = tmp_path / "in", str(tmp_path / "log"), str(tmp_path / "rejected")
+
+    def run(checkpoint):
+        stream = read_generated_stream(spark, str(source), files_per_trigger=1)
+        start_review_log(stream, log, rejected, str(tmp_path / checkpoint), available_now=True).awaitTermination()
+
+    def held(path):
+        return sorted(r.comment_id for r in spark.read.json(path).collect())
+
+    write_events(source, "a.json", [(k, c) for k, c in GENERATIONS.items()] + [("good", "a decent comment of five words")])
+    run("one")
+    assert held(log) == sorted(GOOD) and held(rejected) == sorted(set(GENERATIONS) - GOOD)
+    # An id again in a later file, out of order in time, and a new id.
+    write_events(source, "b.json", [("good", "another decent comment with five words"), ("late", "one more good comment to keep")])
+    run("one")
+    assert held(log) == sorted(GOOD | {"late"})
+    # The whole input once more under a new checkpoint.
+    run("two")
+    assert held(log) == sorted(GOOD | {"late"}) and held(rejected) == sorted(set(GENERATIONS) - GOOD)
+
+
+def test_store_cuts_lineage(spark, articles):
+    kept = store(generation.generate(generation.generation_requests(articles), echo), "generated")
+    assert kept.count() == 5 and "MapInPandas" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from quipyard import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())

@@ -1,0 +1,32 @@
+"""Every registered query against its SQL, on the smallest tables."""
+
+import os
+
+import pytest
+from compare import differences, sql_connection
+
+import __spark_entry__ as contract
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return sql_connection(FOLDER)
+
+
+def test_every_query_has_its_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_query_equals_sql(spark, connection, name):
+    found = contract.queries()[name](spark, FOLDER)
+    assert differences(found, connection, name) == []
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
