@@ -100,6 +100,12 @@ def pack_sft(prepared: DataFrame, length: int = 4096, key: str = "comment_id", *
     return pack_sequences(prepared, key, "text", length, **options)
 
 
+def filter_dpo(dataset: DataFrame, min_up: int = 0, min_down: int = 0) -> tuple[DataFrame, Observation]:
+    """Filter by votes; also the counts before and after."""
+    keep = dpo_votes_ok(F.col("chosen_pcu"), F.col("rejected_pcd"), min_up, min_down)
+    return observed_filter(dataset, keep, "dpo_vote_filter")
+
+
 def prepare_dpo(
     dataset: DataFrame,
     min_up: int = 0,
@@ -110,8 +116,7 @@ def prepare_dpo(
     keep_votes: bool = True,
 ) -> tuple[DataFrame, DataFrame, Observation]:
     """Filter by votes and split: (train, test, counts before and after)."""
-    keep = dpo_votes_ok(F.col("chosen_pcu"), F.col("rejected_pcd"), min_up, min_down)
-    kept, counts = observed_filter(dataset, keep, "dpo_vote_filter")
+    kept, counts = filter_dpo(dataset, min_up, min_down)
     train, test = train_test_split(kept, "url", share, seed, exact)
     if not keep_votes:
         train, test = (part.select("prompt", "chosen", "rejected") for part in (train, test))
