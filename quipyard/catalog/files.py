@@ -156,7 +156,8 @@ FROM (SELECT CAST(unnest(generate_series(min(year(l_shipdate)), max(year(l_shipd
       FROM lineitem),
      (SELECT CAST(unnest(generate_series(1, 12)) AS INTEGER) AS month), (SELECT unnest([0, 2]) AS catid)""")
 def archive_grid(t):
-    years = t["lineitem"].agg(F.min(F.year("l_shipdate")).alias("first_year"), F.max(F.year("l_shipdate")).alias("last_year"))
+    year = F.year("l_shipdate")
+    years = t["lineitem"].agg(F.min(year).alias("first_year"), F.max(year).alias("last_year"))
     return archive.archive_pages_between(years, _ARCHIVE, (0, 2))
 
 

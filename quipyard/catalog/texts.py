@@ -384,4 +384,5 @@ SELECT CAST(pos // 256 AS BIGINT) AS block_id, count(*) AS n_tokens, string_agg(
 FROM stream GROUP BY 1 HAVING count(*) = 256""")
 def pack_sequences(t):
     blocks = packing.pack_sequences(t["documents"], "doc_id", "text", 256)
-    return blocks.select("block_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.array_join("tokens", " ").alias("text"))
+    n_tokens = F.size("tokens").cast("bigint")
+    return blocks.select("block_id", n_tokens.alias("n_tokens"), F.array_join("tokens", " ").alias("text"))

@@ -42,6 +42,7 @@ def salted_join(
     spread_by: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
     counted: DataFrame | None = None,
+    copies: bool = False,
 ) -> DataFrame:
     """Join on `key`, and on `also` = (left column, right column) if given.
 
@@ -49,16 +50,22 @@ def salted_join(
     default); the matching right rows are repeated once per salt, so each left row
     meets each of its partners exactly once. For inner, left, left_semi and left_anti.
     Where `left` is costly, `counted` is a table with the same keys to look for hot ones.
+    With `copies`, left rows may be the same in all columns, which no hash can tell
+    apart: while there are hot keys, such rows travel as one row with a number.
     """
     hot = hot_keys((left if counted is None else counted).select(key), key, rows_per_task)
-    on = [key]
+    on, columns = [key], left.columns
+    copies = copies and hot is not None
+    if copies:
+        left = _as_portions(left, rows_per_task)
     if hot is not None:
         # At most MAX_HOT_KEYS rows.
         hot = F.broadcast(hot)
         salts = F.coalesce(F.col("_salts"), F.lit(1))
-        columns = list(spread_by) or left.columns
-        salt = F.pmod(F.xxhash64(*columns), salts).cast("int")
-        left = left.join(hot, key, "left").withColumn("_salt", salt).drop("_salts")
+        salt = F.pmod(F.xxhash64(*(spread_by or columns)), salts)
+        if copies:
+            salt = F.pmod(salt + F.col("_portion"), salts)
+        left = left.join(hot, key, "left").withColumn("_salt", salt.cast("int")).drop("_salts")
         every = F.explode(F.sequence(F.lit(0), salts - 1))
         right = right.join(hot, key, "left").withColumn("_salt", every).drop("_salts")
         on.append("_salt")
@@ -66,7 +73,33 @@ def salted_join(
         right = right.withColumn("_also", F.col(also[1]))
         left = left.withColumn("_also", F.col(also[0]))
         on.append("_also")
-    return left.join(right, on, how).drop("_salt", "_also")
+    joined = left.join(right, on, how).drop("_salt", "_also")
+    return _repeated(joined) if copies else joined
+
+
+def _as_portions(df: DataFrame, rows_per_task: int) -> DataFrame:
+    """Equal rows as one row per portion with its number of `_copies`."""
+    portions = F.least(F.ceil(F.col("_rows") / rows_per_task), F.lit(MAX_SALTS)).cast("int")
+    extra = (F.col("_portion") < F.col("_rows") % portions).cast("bigint")
+    return (
+        df.groupBy(*df.columns)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("*", F.explode(F.sequence(F.lit(0), portions - 1)).alias("_portion"))
+        .withColumn("_copies", F.floor(F.col("_rows") / portions) + extra)
+        .drop("_rows")
+    )
+
+
+def _repeated(df: DataFrame, step: int = 10_000) -> DataFrame:
+    """Every row `_copies` times, in two steps to keep the arrays small."""
+    rest = [c for c in df.columns if c not in ("_portion", "_copies")]
+    steps = F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / step))
+    left_over = F.least(F.lit(step), F.col("_copies") - F.col("_step") * step)
+    return (
+        df.select(*rest, "_copies", F.explode(steps).alias("_step"))
+        .select(*rest, F.explode(F.sequence(F.lit(1), left_over)).alias("_copy"))
+        .drop("_copy")
+    )
 
 
 def comments_with_articles(comments: DataFrame, details: DataFrame, **salting) -> DataFrame:

@@ -47,15 +47,17 @@ def pack_sequences(
     )
 
     starts = _bucket_starts(rows.select("bucket", F.size(tokens).alias("n")))
-    in_bucket = W.partitionBy("bucket").orderBy("place", "key")
+    # Equal keys should not occur; the text keeps their order the same in every run.
+    in_bucket = W.partitionBy("bucket").orderBy("place", "key", "text")
     before = F.sum("n").over(in_bucket.rowsBetween(W.unboundedPreceding, -1))
     placed = (
-        rows.select("bucket", "place", "key", tokens.alias("tokens"))
-        .withColumn("n", F.size("tokens").cast("bigint"))
+        # Texts travel as they are: arrays of words take several times the space.
+        rows.withColumn("n", F.size(tokens).cast("bigint"))
         .withColumn("before", F.coalesce(before, F.lit(0)))
         # One row per bucket, MAX_BUCKETS at most.
         .join(F.broadcast(starts), "bucket")
         .withColumn("start", F.col("first") + F.col("before"))
+        .withColumn("tokens", tokens)
     )
     pieces = _cut(placed, length)
 

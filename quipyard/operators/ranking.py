@@ -1,8 +1,9 @@
 """Best and worst row per article.
 
-Every pick is one `min_by` over a struct key: map-side partial aggregation leaves
-one row per article and task before the shuffle, so an article that holds a third
-of all comments costs no more than any other, and both picks share one shuffle.
+Every pick is the minimum of a struct of sort key and row: map-side partial
+aggregation leaves one row per article and task before the shuffle, so an article
+that holds a third of all comments costs no more than any other, and both picks
+share one shuffle. Rows that tie in the whole key are told apart by their values.
 """
 
 from __future__ import annotations
@@ -32,11 +33,11 @@ def worst_key(up: Column, down: Column, tie: Column) -> Column:
 
 def _pick(df: DataFrame, key: str, picks: dict[str, tuple[Sequence[str], Column]]) -> DataFrame:
     """One row per non-null `key` with a struct of columns for each pick."""
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(*[F.min_by(F.struct(*columns), order).alias(name) for name, (columns, order) in picks.items()])
-    )
+    least = {
+        name: F.min(F.struct(order.alias("order"), F.struct(*columns).alias("row"))).getField("row")
+        for name, (columns, order) in picks.items()
+    }
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(*[row.alias(name) for name, row in least.items()])
 
 
 def top_comment(comments: DataFrame) -> DataFrame:

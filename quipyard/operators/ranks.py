@@ -122,6 +122,11 @@ def assign_chunks(df: DataFrame, position: str, chunks: int = 8) -> DataFrame:
     return df.withColumn("chunk", F.when(F.col(position).isNotNull(), chunk))
 
 
-def spread(df: DataFrame, chunks: int) -> DataFrame:
-    """Even partitions for running the work in parallel, where order does not matter."""
-    return df.repartition(chunks)
+def spread(df: DataFrame, chunks: int | None = None) -> DataFrame:
+    """At least so many even partitions, where order does not matter; by default one per core.
+
+    A table that already comes in as many parts is left as it is, so large inputs
+    are not shuffled.
+    """
+    chunks = chunks or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= chunks else df.repartition(chunks)

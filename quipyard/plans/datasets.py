@@ -48,7 +48,11 @@ def article_prompts(
 
 
 def build_dpo_dataset(
-    comments: DataFrame, details: DataFrame, top_comments: DataFrame | None = None, **prompt_options
+    comments: DataFrame,
+    details: DataFrame,
+    top_comments: DataFrame | None = None,
+    salting: dict | None = None,
+    **prompt_options,
 ) -> DataFrame:
     """Preference pairs, one per article.
 
@@ -66,7 +70,7 @@ def build_dpo_dataset(
         pairs = pairs.join(top_comments, "url")
     dataset = select_renamed(
         # One pair per url, but an article may have been captured many times.
-        salted_join(articles, pairs, "url", counted=details),
+        salted_join(articles, pairs, "url", counted=details, copies=True, **(salting or {})),
         {
             "prompt": "prompt",
             "chosen": "top_comment_text",

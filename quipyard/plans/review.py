@@ -22,7 +22,8 @@ def review_generations(generated: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def log_records(accepted: DataFrame, now=None) -> DataFrame:
     """Log rows (comment_id, url, comment, datetime); `now` defaults to the current time."""
-    return accepted.select("comment_id", "url", "comment", (F.current_timestamp() if now is None else now).alias("datetime"))
+    moment = F.current_timestamp() if now is None else now
+    return accepted.select("comment_id", "url", "comment", moment.alias("datetime"))
 
 
 def log_json(records: DataFrame) -> DataFrame:

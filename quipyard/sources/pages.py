@@ -7,7 +7,6 @@ is done by column expressions. The html column does not leave the pass.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -20,7 +19,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from quipyard.functions.text import normalize_lines, title_and_text
 from quipyard.operators.columns import drop_any_null, normalize_columns, sentinel_to_null
 from quipyard.operators.filters import matches_url
-from quipyard.schemas import CLEAN_DETAILS, DETAILS, MISSING, NO_DESCRIPTION, PAGES, RAW_COMMENTS
+from quipyard.operators.ranks import spread
+from quipyard.schemas import MISSING, NO_DESCRIPTION, PAGES, RAW_COMMENTS
 from quipyard.sources.html_tree import Element, parse
 
 
@@ -145,7 +145,8 @@ def parse_pages(
             rows = [parse_one(row["url"].as_py(), row["html"].as_py()) for row in _rows(batch)]
             yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
-    return pages.where("status_code = 200").select("url", "html").mapInArrow(run, schema)
+    # Parsing costs far more than moving a page: a few large inputs are spread over all cores.
+    return spread(pages.where("status_code = 200").select("url", "html")).mapInArrow(run, schema)
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict[str, pa.Scalar]]:

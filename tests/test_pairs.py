@@ -210,3 +210,22 @@ def test_salts_split_a_hot_key(table):
     salt = F.pmod(F.xxhash64("comment_id"), F.lit(10))
     sizes = [r["count"] for r in joined.groupBy(salt).count().collect()]
     assert sum(sizes) == 300 and len(sizes) == 10 and max(sizes) < 60
+
+
+def test_copies_of_one_article_are_spread_and_kept(table, monkeypatch):
+    comments = table(COMMENTS, *[(f"c{i}", u, f"t{i}", i, 1, "ann") for i, u in enumerate("hhhabc")])
+    rows = [("h", "T", None, "same", "top")] * 57 + [("h", "T", None, None, "top")] * 3
+    rows += [("a", "T", None, "x", "top"), ("a", "T", None, "x", "top"), ("b", "T", None, "x", None)]
+    details = table(DETAILS, *rows)
+    plain = datasets.build_dpo_dataset(comments, details)
+    spread = datasets.build_dpo_dataset(comments, details, salting={"rows_per_task": 10})
+    assert spread.columns == plain.columns
+    assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+    assert spread.where("url = 'h'").count() == 57
+
+    portions = joins._as_portions(details.select("url", "article_text"), 10).where("article_text = 'same'").collect()
+    assert sorted(r._copies for r in portions) == [9, 9, 9, 10, 10, 10]
+    monkeypatch.setattr(joins, "MAX_SALTS", 2)
+    capped = joins._as_portions(details.select("url", "article_text"), 10)
+    assert sorted(r._copies for r in capped.where("article_text = 'same'").collect()) == [28, 29]
+    assert joins._repeated(capped, step=4).count() == len(rows)
