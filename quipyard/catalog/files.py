@@ -32,8 +32,9 @@ LAYOUT = PageLayout(
 
 
 def _decoded(text: str) -> str:
-    for entity, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{char}')"
+    """SQL for the entities that occur; the closing semicolon may be missing in these."""
+    for entity, char in (("&quot", '"'), ("&copy", "©"), ("&middot", "·"), ("&amp", "&")):
+        text = f"regexp_replace({text}, '{entity};?', '{char}', 'g')"
     return text
 
 
