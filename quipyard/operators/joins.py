@@ -38,13 +38,12 @@ def salted_join(
     right: DataFrame,
     key: str,
     how: str = "inner",
-    also: tuple[str, str] | None = None,
     spread_by: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
     counted: DataFrame | None = None,
     copies: bool = False,
 ) -> DataFrame:
-    """Join on `key`, and on `also` = (left column, right column) if given.
+    """Join on `key`.
 
     Rows of a hot left key get a salt from a hash of `spread_by` (all columns by
     default); the matching right rows are repeated once per salt, so each left row
@@ -69,11 +68,7 @@ def salted_join(
         every = F.explode(F.sequence(F.lit(0), salts - 1))
         right = right.join(hot, key, "left").withColumn("_salt", every).drop("_salts")
         on.append("_salt")
-    if also:
-        right = right.withColumn("_also", F.col(also[1]))
-        left = left.withColumn("_also", F.col(also[0]))
-        on.append("_also")
-    joined = left.join(right, on, how).drop("_salt", "_also")
+    joined = left.join(right, on, how).drop("_salt")
     return _repeated(joined) if copies else joined
 
 
@@ -111,10 +106,9 @@ def comments_with_articles(comments: DataFrame, details: DataFrame, **salting) -
 def top_comment_matches(comments: DataFrame, details: DataFrame, **salting) -> DataFrame:
     """Comments whose text equals the top comment of their article.
 
-    The text is part of the join key, so only candidates for a match meet.
+    The optimizer makes the texts part of the join key, so only matches meet.
     """
-    articles = details.select("url", "title", "article_text", "top_comment_text")
-    matched = salted_join(comments, articles, "url", also=("comment_text", "top_comment_text"), **salting)
+    matched = comments_with_articles(comments, details, **salting).where("comment_text = top_comment_text")
     return matched.select(*comments.columns, "title", "article_text", "top_comment_text")
 
 

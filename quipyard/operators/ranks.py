@@ -126,7 +126,8 @@ def spread(df: DataFrame, chunks: int | None = None) -> DataFrame:
     """At least so many even partitions, where order does not matter; by default one per core.
 
     A table that already comes in as many parts is left as it is, so large inputs
-    are not shuffled.
+    are not shuffled. Meant for tables as read from files: asking for the number of
+    parts would run the shuffles of a longer plan.
     """
     chunks = chunks or df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= chunks else df.repartition(chunks)

@@ -31,7 +31,8 @@ def test_pages_to_prepared_sets(spark, table, tmp_path, capsys):
     assert spark.read.csv(at("urls.csv"), header=True).count() == 14
 
     main(["ingest_pages", "--pages_path", at("pages"), "--output_path", at("in")])
-    inputs = ["--df_comments_path", at("in/article_comments.csv"), "--df_article_details_path", at("in/article_details.csv")]
+    inputs = ["--df_comments_path", at("in/article_comments.csv")]
+    inputs += ["--df_article_details_path", at("in/article_details.csv")]
 
     main(["build_sft_dataset", *inputs, "--output_path", at("sft.jsonl")])
     sft = read(tmp_path / "sft.jsonl")
@@ -44,7 +45,8 @@ def test_pages_to_prepared_sets(spark, table, tmp_path, capsys):
     assert (one["chosen"], one["rejected"], one["chosen_pcu"], one["rejected_pcd"]) == ("top 3", "bad 3", 20, 60)
 
     capsys.readouterr()
-    main(["prepare_sft", "--dataset_name", at("sft.jsonl"), "--output_path", at("sft-ready.jsonl"), "--seq_length", "16"])
+    main(["prepare_sft", "--dataset_name", at("sft.jsonl"), "--output_path", at("sft-ready.jsonl"),
+          "--seq_length", "16"])
     assert json.loads(capsys.readouterr().out) == {"rows_before": 12, "rows_after": 12}
     ready = read(tmp_path / "sft-ready.jsonl")
     assert all(r["text"].endswith(f"### Response:\n{r['top_comment_text']}\n") for r in ready)
@@ -68,8 +70,8 @@ def test_review_commands(spark, table, tmp_path):
     for _ in range(2):
         main(["review", "--generated_path", at("generated"), "--log_path", at("log")])
     assert [r["comment_id"] for r in read(tmp_path / "log")] == ["1"]
-    main(["review_stream", "--generated_path", at("generated"), "--log_path", at("log"), "--rejected_path", at("rejected"),
-          "--checkpoint", at("checkpoint"), "--available_now"])
+    main(["review_stream", "--generated_path", at("generated"), "--log_path", at("log"),
+          "--rejected_path", at("rejected"), "--checkpoint", at("checkpoint"), "--available_now"])
     assert [r["comment_id"] for r in read(tmp_path / "log")] == ["1"]
     assert [r["reasons"] for r in read(tmp_path / "rejected")] == [["too short"]]
 

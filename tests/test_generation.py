@@ -66,7 +66,8 @@ def test_compare_generations(articles):
 def test_few_shot_blocks_are_prefixes(examples):
     blocks = [batching.few_shot_block(examples, k).first().few_shot for k in (1, 2, 3, 4)]
     assert all(longer.startswith(shorter) for shorter, longer in zip(blocks, blocks[1:]))
-    assert blocks[0] == f"### Article Summary: \n\n{' '.join(('E1: a b ' + 'x ' * 200).split())}\n\n### Comment:\n\nha 1\n\n"
+    summary = " ".join(("E1: a b " + "x " * 200).split())
+    assert blocks[0] == f"### Article Summary: \n\n{summary}\n\n### Comment:\n\nha 1\n\n"
     assert blocks[3].count("### Comment:") == 4
     with pytest.raises(PySparkException, match="asked for 5 examples, found 4"):
         batching.few_shot_block(examples, 5).collect()
@@ -100,8 +101,10 @@ def test_settings_grid(table):
 
 
 def test_token_scores(table):
-    df = table("generation_id STRING, pos INT, token STRING, logprob DOUBLE", ("g", 0, "a", 0.0), ("g", 1, "b", -0.6931471805599453))
-    assert {r.token: r.percent for r in scores.with_token_probability(df).collect()} == {"a": "100.00%", "b": "50.00%"}
+    rows = [("g", 0, "a", 0.0), ("g", 1, "b", -0.6931471805599453)]
+    df = table("generation_id STRING, pos INT, token STRING, logprob DOUBLE", *rows)
+    percents = {r.token: r.percent for r in scores.with_token_probability(df).collect()}
+    assert percents == {"a": "100.00%", "b": "50.00%"}
     row = scores.mean_token_probability(df).first()
     assert row.tokens == 2 and abs(row.mean_probability - 0.75) < 1e-12
 
@@ -128,7 +131,8 @@ def test_review(table):
     reasons = {r.comment_id: r.reasons for r in rejected.collect()}
     assert set(reasons) == set(GENERATIONS) - GOOD
     assert reasons["heading"] == ["contains ###"] and reasons["leak"] == ["contains funniest"]
-    assert reasons["four"] == ["too short"] and reasons["too long"] == ["too long"] and reasons["missing"] == ["missing"]
+    assert reasons["four"] == ["too short"] and reasons["too long"] == ["too long"]
+    assert reasons["missing"] == ["missing"]
     marked = df.withColumn("bad", filters.is_problem_comment(F.col("comment")))
     assert {r.comment_id for r in marked.where("NOT bad").collect()} == GOOD
 
@@ -160,11 +164,12 @@ def test_streamed_log_is_idempotent(spark, tmp_path):
     def held(path):
         return sorted(r.comment_id for r in spark.read.json(path).collect())
 
-    write_events(source, "a.json", [(k, c) for k, c in GENERATIONS.items()] + [("good", "a decent comment of five words")])
+    write_events(source, "a.json", [*GENERATIONS.items(), ("good", "a decent comment of five words")])
     run("one")
     assert held(log) == sorted(GOOD) and held(rejected) == sorted(set(GENERATIONS) - GOOD)
     # An id again in a later file, out of order in time, and a new id.
-    write_events(source, "b.json", [("good", "another decent comment with five words"), ("late", "one more good comment to keep")])
+    later = [("good", "another decent comment with five words"), ("late", "one more good comment to keep")]
+    write_events(source, "b.json", later)
     run("one")
     assert held(log) == sorted(GOOD | {"late"})
     # The whole input once more under a new checkpoint.

@@ -19,7 +19,8 @@ FULL = """<!DOCTYPE html><html><head><title>Fast &amp; loose</title>
 <div id="comment_wrap">
  <div class="ppcont"><div class="comtext"> Top <b> joke </b> </div></div>
  <div class="cmcont other" id="c1"><a href="/about">x</a><a href="/u/ann/"> ann </a>
-   <div class="comtext"> First <i>one</i> </div><div class="pcp"><span class="pcu"> 12 </span><span class="pcd">3</span></div></div>
+   <div class="comtext"> First <i>one</i> </div>
+   <div class="pcp"><span class="pcu"> 12 </span><span class="pcd">3</span></div></div>
  <div class="cmcont" id="c2"><div class="comtext">Second</div></div>
  <div class="cmcont" id="c3"><div class="comtext">Third</div><div class="pcp"><span class="pcu">5</span></div></div>
  <div class="cmcontainer" id="no"><div class="comtext">not a comment</div></div>
@@ -96,8 +97,8 @@ def test_comments_in_page_order(captured):
 def test_links_keep_duplicates_and_follow_the_pattern(captured):
     html = """<div class="news-style1"><a href="https://n.example/news/a.html">a</a><a>none</a><a href="">empty</a>
       <p class="news-style1 x"><a href="https://n.example/news/b.html?x=1">b</a></p></div>
-      <div class="news-style1"><a href="https://n.example/news/a.html">again</a><a href="http://n.example/news/c.html">c</a>
-      </div><a href="https://n.example/news/out.html">outside</a>"""
+      <div class="news-style1"><a href="https://n.example/news/a.html">again</a>
+      <a href="http://n.example/news/c.html">c</a></div><a href="https://n.example/news/out.html">outside</a>"""
     df = captured(u=html)
     urls = [r.url for r in P.extract_links(df).orderBy("position").collect()]
     a, b, c = "https://n.example/news/a.html", "https://n.example/news/b.html?x=1", "http://n.example/news/c.html"
@@ -153,7 +154,8 @@ def test_ingest_and_write(spark, captured, tmp_path):
     kept = read_details(spark, f"{tmp_path}/article_details.csv").collect()
     assert [(r.url, r.article_text) for r in kept] == [("u", "Head\nOne\ntwo\nthree\nfour")]
     comments = read_comments_csv(spark, f"{tmp_path}/article_comments.csv").orderBy("comment_id").collect()
-    assert [(r.comment_id, r.pcu_value, r.pcd_value) for r in comments] == [("c1", 12, 3), ("c2", None, None), ("c3", 5, None)]
+    votes = [(r.comment_id, r.pcu_value, r.pcd_value) for r in comments]
+    assert votes == [("c1", 12, 3), ("c2", None, None), ("c3", 5, None)]
     assert spark.read.csv(f"{tmp_path}/page_errors.csv", header=True).count() == 1
 
 

@@ -99,7 +99,8 @@ SUITABLE = {"u/plain", "u/Video", "u/notext", "u/notop", "u/long", "u/alone"}
 def small(table):
     rows = [(f"{url}-{i}", url, text, up, down, "ann") for url, *_ in ARTICLES[:-1]
             for i, (text, up, down) in enumerate([("top", 1, 0), ("best", 9, 1), ("worst", 2, 7), ("top", 0, 0)])]
-    rows += [("x", "u/alone", "only", 3, 1, "bob"), ("y", "u/unknown", "top", 1, 1, "bob"), ("z", None, "top", 1, 1, "bob")]
+    rows += [("x", "u/alone", "only", 3, 1, "bob"), ("y", "u/unknown", "top", 1, 1, "bob")]
+    rows += [("z", None, "top", 1, 1, "bob")]
     return table(COMMENTS, *rows), table(DETAILS, *ARTICLES)
 
 
@@ -132,7 +133,8 @@ def test_dpo_dataset(small):
     assert rows["u/alone"].rejected == "only" and rows["u/alone"].chosen_pcu == rows["u/alone"].rejected_pcu == 3
     assert ("\n" + "T " + "x" * 597 + "é" + "\n\n### Response:\n") in rows["u/long"].prompt
     comments, details = small
-    apart = datasets.build_dpo_dataset(comments, details.drop("top_comment_text"), details.select("url", "top_comment_text"))
+    shown = details.select("url", "top_comment_text")
+    apart = datasets.build_dpo_dataset(comments, details.drop("top_comment_text"), shown)
     assert {r.url: r for r in apart.collect()} == rows
 
 

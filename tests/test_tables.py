@@ -39,7 +39,8 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
 
 
 def test_csv_round_trip_keeps_texts(spark, table, tmp_path):
-    texts = ["plain", " blanks ", 'quote " and ""', "line\nbreak", "carriage\rreturn", "comma,", "\\ back\\", "é😀", "'", None]
+    texts = ["plain", " blanks ", 'quote " and ""', "line\nbreak", "carriage\rreturn", "comma,"]
+    texts += ["\\ back\\", "é😀", "'", None]
     df = table("comment_id STRING, url STRING, comment_text STRING", *[(str(i), "u", t) for i, t in enumerate(texts)])
     tables.write_csv(df, str(tmp_path / "out.csv"), rows_per_file=2)
     back = tables.read_comments_csv(spark, str(tmp_path / "out.csv"), na_tokens=("",))
@@ -69,7 +70,8 @@ def test_jsonl_keeps_null_fields(spark, table, tmp_path):
 
 
 def test_dataset_by_table_name(spark, table):
-    rows = table(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SFT_DATASET), tuple(["x"] * 3 + [1, 2] + ["y"] * 5))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SFT_DATASET)
+    rows = table(schema, ("x", "x", "x", 1, 2, *["y"] * 5))
     rows.createOrReplaceTempView("kept_examples")
     assert tables.read_dataset(spark, "kept_examples", SFT_DATASET).count() == 1
 
@@ -129,9 +131,8 @@ def test_column_operators(table):
 
 
 def test_flatten_and_zip(spark):
-    df = spark.createDataFrame(
-        [(1, ["a", "b"], ["x", "y", "z"]), (2, [], ["q"]), (3, None, None)], "k INT, left ARRAY<STRING>, right ARRAY<STRING>"
-    )
+    rows = [(1, ["a", "b"], ["x", "y", "z"]), (2, [], ["q"]), (3, None, None)]
+    df = spark.createDataFrame(rows, "k INT, left ARRAY<STRING>, right ARRAY<STRING>")
     flat = columns.flatten_results(df.drop("right"), "left", "at")
     assert sorted(map(tuple, flat.collect())) == [(1, 0, "a"), (1, 1, "b")]
     pairs = columns.zip_results(df, "left", "right")
