@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipyard.llm import exact_dedup, pii, sharding
+from quipyard.llm import bpe, exact_dedup, pii, sharding, token_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,10 +25,23 @@ def query(sql: str | None = None):
     return register
 
 
+def tokenizer_file() -> str:
+    """Place of the public word-level BPE file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/documents.parquet")
 
 
+@query()
+def op2_token_shards(spark: SparkSession, folder: str) -> DataFrame:
+    shards = token_shards.write_shards(documents(spark, folder), tokenizer_file())
+    return token_shards.read_documents(spark, shards)
+
+
 @query()
 def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_personal_data(documents(spark, folder).select("doc_id", "text"))
@@ -73,3 +86,8 @@ def op8_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
         "row",
     )
+
+
+@query()
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode_decode(documents(spark, folder), tokenizer_file(), digests=True)
