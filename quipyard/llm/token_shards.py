@@ -40,7 +40,8 @@ from quipyard.session import scratch_path
 SHARD_TOKENS = 1 << 20
 END_ID = 1
 MAGIC = b"QYWMAT01"
-_HEAD = struct.Struct("<8sIQQ")
+_HEAD = "<8sIQQ"
+_HEAD_SIZE = struct.calcsize(_HEAD)
 _BLOCK = 512
 #: Letters that normalise to one lowercase letter each, and stops that always part from them.
 _LATIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
@@ -68,17 +69,17 @@ class WaveletMatrix:
         return cls(len(ids), width, zeros, frames)
 
     def to_bytes(self) -> bytes:
-        head = _HEAD.pack(MAGIC, self.width, self.n, 0)
+        head = struct.pack(_HEAD, MAGIC, self.width, self.n, 0)
         table = b"".join(struct.pack("<QQ", z, len(f)) for z, f in zip(self.zeros, self.frames))
         return head + table + b"".join(self.frames)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> WaveletMatrix:
-        magic, width, n, _ = _HEAD.unpack_from(data)
+        magic, width, n, _ = struct.unpack_from(_HEAD, data)
         if magic != MAGIC:
             raise ValueError("not a token shard")
-        rows = [struct.unpack_from("<QQ", data, _HEAD.size + 16 * i) for i in range(width)]
-        at, frames = _HEAD.size + 16 * width, []
+        rows = [struct.unpack_from("<QQ", data, _HEAD_SIZE + 16 * i) for i in range(width)]
+        at, frames = _HEAD_SIZE + 16 * width, []
         for _, size in rows:
             frames.append(data[at : at + size])
             at += size
