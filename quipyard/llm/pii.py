@@ -57,30 +57,50 @@ CONTEXT_WORDS = {
 }
 
 
+_FOUND = "array<struct<start:int,value:string>>"
+#: Matches whose places are summed up at once: an array that grows by one is copied each time.
+_BLOCK = 64
+
+
 def _proposed(text: Column, kind: str) -> Column:
     """Array of (start, value) of the leftmost non-overlapping matches."""
-    pattern = F.lit(PATTERNS[kind])
-    values = F.regexp_extract_all(text, pattern, F.lit(0))
-    between = F.split(text, PATTERNS[kind], -1)
-    pairs = F.arrays_zip(between.alias("gap"), values.alias("value"))
+    values = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
     # the last gap has no match behind it
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,value:string>>").alias("spans"))
-    found = F.aggregate(
-        pairs,
-        start,
-        lambda s, p: F.struct(
-            (s["at"] + F.length(p["gap"]) + F.coalesce(F.length(p["value"]), F.lit(0))).alias("at"),
-            F.when(p["value"].isNull(), s["spans"])
-            .otherwise(
+    pairs = F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"), values.alias("value"))
+    return F.transform(F.array(pairs), _placed)[0]  # so that the pairs are found once
+
+
+def _placed(pairs: Column) -> Column:
+    """Starts of the values among (gap, value) pairs."""
+    width = lambda p: F.length(p["gap"]) + F.coalesce(F.length(p["value"]), F.lit(0))
+    empty = F.array().cast(_FOUND)
+
+    def block(at: Column, some: Column) -> Column:
+        return F.aggregate(
+            some,
+            F.struct(at.alias("at"), empty.alias("spans")),
+            lambda s, p: F.struct(
+                (s["at"] + width(p)).alias("at"),
                 F.concat(
                     s["spans"],
                     F.array(F.struct((s["at"] + F.length(p["gap"])).alias("start"), p["value"].alias("value"))),
-                )
-            )
-            .alias("spans"),
-        ),
-    )
-    return found["spans"]
+                ).alias("spans"),
+            ),
+        )["spans"]
+
+    def one_more(s: Column, i: Column) -> Column:
+        some = F.slice(pairs, i * _BLOCK + 1, _BLOCK)
+        return F.struct(
+            F.aggregate(some, s["at"], lambda at, p: at + width(p)).alias("at"),
+            F.concat(s["blocks"], F.array(block(s["at"], some))).alias("blocks"),
+        )
+
+    blocks = F.aggregate(
+        F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / _BLOCK).cast("int")),
+        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_FOUND}>").alias("blocks")),
+        one_more,
+    )["blocks"]
+    return F.filter(F.flatten(blocks), lambda p: p["value"].isNotNull())
 
 
 def _digits(value: Column) -> Column:

@@ -41,9 +41,10 @@ def test_base_spans_equal_brute_force(table):
 
 
 def test_very_long_runs_end_soon(table):
+    """Texts on which a backtracking search would take a quadratic time or a deep stack."""
     texts = ["a" * 200_000, "1" * 200_000, "a@b" + ".c" * 50_000, "1-" * 50_000, "+1" + "(" * 100_000, "1.2." * 40_000]
-    found = spans(table, texts)
-    assert [b for b, _ in found] == [expected(t) if i not in (0,) else "" for i, t in enumerate(texts)]
+    want = ["", "", "email:0:100003", "", "", ",".join(f"ip:{i}:{i + 7}" for i in range(0, 160_000, 8))]
+    assert [b for b, _ in spans(table, texts)] == want
 
 
 @given(st.lists(st.text("a@.+-1 4(é)5", max_size=30), min_size=20, max_size=40))
