@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quipyard.llm.rows import keep_once, row_key
 from quipyard.session import store
 
 WHITESPACE = " \t\n\v\f\r"
@@ -115,15 +116,9 @@ def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "_hot IS NULL OR _best = _key"
     )
     staying = winners.select(_key(F.col("text_sha256"), F.col("length"), F.col("doc_id")).alias("_key"))
-    first = Window.partitionBy("_key").orderBy("_key")
-    return (
-        left.join(staying, "_key", "left_semi")
-        .withColumn("_copy", F.row_number().over(first))
-        .filter("_copy = 1")
-        .select(*[F.col(f"`{name}`") for name in docs.columns])
-    )
+    kept = keep_once(left, F.col("_key"), staying)
+    return kept.select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
 def _key(digest: Column, length: Column, doc_id: Column) -> Column:
-    identity = F.coalesce(doc_id.cast("string"), F.lit("none"))
-    return F.concat_ws("|", digest, length.cast("string"), identity)
+    return row_key(doc_id, digest, length)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipyard.llm import bpe, exact_dedup, pii, sharding, token_shards
+from quipyard.llm import bpe, exact_dedup, pii, sharding, simhash, token_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,6 +53,12 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    near = simhash.near_duplicates(documents(spark, folder), shingle=4, distance=4)
+    return near.select("doc_id", simhash.print_hex().alias("fingerprint"), "component_id")
+
+
 @query(
     """
     WITH d AS (
