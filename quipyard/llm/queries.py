@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipyard.llm import bpe, exact_dedup, pii, sharding, simhash, token_shards
+from quipyard.llm import bpe, decontamination, exact_dedup, pii, sharding, simhash, token_shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +42,13 @@ def op2_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     return token_shards.read_documents(spark, shards)
 
 
+@query()
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    labels = spark.read.parquet(f"{folder.rstrip('/')}/labels.parquet")
+    return toxicity.score_documents(docs, toxicity.train(docs, labels))
+
+
 @query()
 def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_personal_data(documents(spark, folder).select("doc_id", "text"))
@@ -94,6 +101,12 @@ def op8_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder.rstrip('/')}/benchmark.parquet")
+    return decontamination.find_passages(documents(spark, folder), benchmark)
+
+
 @query()
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_decode(documents(spark, folder), tokenizer_file(), digests=True)
