@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipyard.llm import bpe, decontamination, exact_dedup, pii, sharding, simhash, token_shards, toxicity
+from quipyard.llm import bpe, decontamination, exact_dedup, passages, pii, sharding, simhash, token_shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,11 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/documents.parquet")
 
 
+@query()
+def op1_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, folder))
+
+
 @query()
 def op2_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     shards = token_shards.write_shards(documents(spark, folder), tokenizer_file())
