@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipyard.llm import bpe, decontamination, exact_dedup, passages, pii, sharding, simhash, token_shards, toxicity
+from quipyard.llm import bpe, decontamination, exact_dedup, passages, pii, sharding, simhash, suffix_tree_lm, token_shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,6 +91,11 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.mark_duplicates(documents(spark, folder)).drop("length")
 
 
+@query()
+def op7_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree_lm.score_texts(documents(spark, folder))
+
+
 @query()
 def op8_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shuffle_into_shards(documents(spark, folder), shards=40)
