@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quipyard.llm.rows import keep_once, row_key
+from quipyard.llm.rows import keep_once, row_key, wrapped
 from quipyard.session import store
 
 WHITESPACE = " \t\n\v\f\r"
@@ -103,21 +103,15 @@ def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     digest, length and id of the row that stays.
     """
     marks = store(mark_duplicates(docs, doc_id, text), "marks")
-    winners = marks.filter("kept").select("text_sha256", "length", "doc_id", "group_size")
-    size = marks.count()
-    hot = winners.filter(F.col("group_size") > max(1, size // TRACKED)).select(
-        F.col("text_sha256").alias("_hot"), _key(F.col("text_sha256"), F.col("length"), F.col("doc_id")).alias("_best")
-    )
-    keyed = docs.withColumn("_digest", text_digest(F.col(text))).withColumn(
-        "_key", _key(F.col("_digest"), _length(F.col(text)), F.col(doc_id))
-    )
+    key = _key(F.col("text_sha256"), F.col("length"), F.col("doc_id"))
+    winners = marks.filter("kept").select("text_sha256", "group_size", key.alias("key"))
     # fewer than TRACKED digests can hold more than 1 / TRACKED of the rows each
-    left = keyed.join(F.broadcast(hot), F.col("_digest") == F.col("_hot"), "left").filter(
-        "_hot IS NULL OR _best = _key"
-    )
-    staying = winners.select(_key(F.col("text_sha256"), F.col("length"), F.col("doc_id")).alias("_key"))
-    kept = keep_once(left, F.col("_key"), staying)
-    return kept.select(*[F.col(f"`{name}`") for name in docs.columns])
+    crowd = max(1, marks.count() // TRACKED)
+    hot = winners.filter(F.col("group_size") > crowd).select(F.col("text_sha256").alias("hot"), F.col("key").alias("best"))
+    digest = text_digest(F.col(text))
+    rows = wrapped(docs, digest=digest, key=_key(digest, _length(F.col(text)), F.col(doc_id)))
+    left = rows.join(F.broadcast(hot), F.col("digest") == F.col("hot"), "left").filter("hot IS NULL OR best = key")
+    return keep_once(left.select("row", "key"), winners)
 
 
 def _key(digest: Column, length: Column, doc_id: Column) -> Column:

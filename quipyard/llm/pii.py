@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quipyard.llm.rows import wrapped
+
 CONTEXT = 40
 THRESHOLD = 0.5
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -181,21 +183,22 @@ def _spans(text: Column, kind: str) -> Column:
 
 
 def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with `base_spans` and `all_spans`, arrays of (start, end, kind, score) in order."""
-    content = F.coalesce(F.col(text), F.lit(""))
-    base = docs.withColumn("_text", content)
-    for kind in BASE_KINDS + MORE_KINDS:
-        base = base.withColumn(f"_{kind}", _spans(F.col("_text"), kind))
-    base = base.withColumn("_base", F.concat(*[F.col(f"_{kind}") for kind in BASE_KINDS]))
+    """`docs` with `base_spans` and `all_spans`, arrays of (start, end, kind, score) in order.
+
+    Columns of these names are replaced.
+    """
+    added = ["base_spans", "all_spans"]
+    rows = wrapped(docs.drop(*added), text=F.coalesce(F.col(text), F.lit("")))
+    kinds = BASE_KINDS + MORE_KINDS
+    rows = rows.select("row", *[_spans(F.col("text"), kind).alias(kind) for kind in kinds])
+    rows = rows.withColumn("base", F.concat(*BASE_KINDS))
     more = F.filter(
-        F.concat(*[F.col(f"_{kind}") for kind in MORE_KINDS]),
+        F.concat(*MORE_KINDS),
         lambda s: (s["score"] >= THRESHOLD)
-        & ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
-    out = base.withColumn("base_spans", _ordered(F.col("_base"))).withColumn(
-        "all_spans", _ordered(F.concat("_base", more))
+        & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
     )
-    return out.drop("_text", "_base", *[f"_{kind}" for kind in BASE_KINDS + MORE_KINDS])
+    spans = [_ordered(F.col("base")), _ordered(F.concat("base", more))]
+    return rows.select("row.*", *[c.alias(n) for c, n in zip(spans, added)])
 
 
 def _ordered(spans: Column) -> Column:

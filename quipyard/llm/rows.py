@@ -11,16 +11,20 @@ def row_key(doc_id: Column, *more: Column) -> Column:
     return F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("none")), *[x.cast("string") for x in more])
 
 
-def keep_once(docs: DataFrame, key: Column, staying: DataFrame) -> DataFrame:
-    """Rows whose key is among `staying` (column _key); of rows with the same key the first.
+def wrapped(docs: DataFrame, **more: Column) -> DataFrame:
+    """All columns as one, `row`, so that none clashes with the others."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in more.items()])
+
+
+def keep_once(rows: DataFrame, staying: DataFrame) -> DataFrame:
+    """Rows (row, key) whose key is among `staying`, unwrapped; of rows with the same key the first.
 
     One shuffle of the rows, by the key, which is nearly unique.
     """
-    first = Window.partitionBy("_key").orderBy("_key")
+    first = Window.partitionBy("key").orderBy("key")
     return (
-        docs.withColumn("_key", key)
-        .join(staying.select("_key"), "_key", "left_semi")
-        .withColumn("_copy", F.row_number().over(first))
-        .filter("_copy = 1")
-        .select(*[F.col(f"`{name}`") for name in docs.columns])
+        rows.join(staying.select("key"), "key", "left_semi")
+        .withColumn("copy", F.row_number().over(first))
+        .filter("copy = 1")
+        .select("row.*")
     )

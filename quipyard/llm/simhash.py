@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quipyard.llm.components import connected_components
-from quipyard.llm.rows import keep_once, row_key
+from quipyard.llm.rows import keep_once, row_key, wrapped
 from quipyard.llm.words import slices
 from quipyard.session import store
 
@@ -363,9 +363,9 @@ def keep_one_of_each(
     near = near_duplicates(docs, shingle, distance, doc_id, text)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("best")
     heads = store(near.groupBy("root").agg(best), "heads")
-    staying = heads.select(row_key(F.col("best.doc_id"), F.col("best.text_hash")).alias("_key"))
+    staying = heads.select(row_key(F.col("best.doc_id"), F.col("best.text_hash")).alias("key"))
     hash_of = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    return keep_once(docs, row_key(F.col(doc_id).cast("long"), hash_of), staying)
+    return keep_once(wrapped(docs, key=row_key(F.col(doc_id).cast("long"), hash_of)), staying)
 
 
 def print_hex(column: str = "print"):

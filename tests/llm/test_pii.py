@@ -12,7 +12,7 @@ from quipyard.llm import pii
 def spans(table, texts):
     docs = table("doc_id BIGINT, text STRING, base_spans STRING", *[(i, t, "clash") for i, t in enumerate(texts)])
     rows = (
-        pii.find_personal_data(docs.drop("base_spans"))
+        pii.find_personal_data(docs)
         .select("doc_id", pii.spans_text(F.col("base_spans")).alias("b"), pii.spans_text(F.col("all_spans")).alias("a"))
         .collect()
     )
