@@ -1,0 +1,101 @@
+import random
+
+import brute
+import numpy as np
+import pytest
+
+from quipyard.llm import components, exact_dedup, simhash
+
+SCHEMA = "doc_id BIGINT, text STRING, row STRING, key INT, `_key` STRING"
+ROWS = [(3, "a b"), (1, "ab"), (2, "a\tb"), (None, "a  b "), (None, "a  b "), (4, None), (5, ""), (6, " \n"), (7, "é"), (7, "é"), (8, "x" * 50_000)]
+ROWS += [(100 + i, "hot  text") for i in range(60)] + [(99, "hot text"), (None, "hot text")]
+
+
+def frame(table, rows, partitions=3):
+    return table(SCHEMA, *[(i, t, f"r{n}", n, "clash") for n, (i, t) in enumerate(rows)], partitions=partitions)
+
+
+def test_exact_dedup_equals_brute_force(table):
+    marks = exact_dedup.mark_duplicates(frame(table, ROWS)).collect()
+    kept = brute.kept_of_equal(ROWS)
+    assert len(marks) == len(ROWS)
+    assert sorted(str(m.doc_id) for m in marks if m.kept) == sorted(str(ROWS[i][0]) for i in kept)
+    assert {m.group_size for m in marks if m.doc_id in (100, 99)} == {62}
+    assert {m.keep_id for m in marks if m.doc_id in (1, 2, 3)} == {None}  # the longest text has no id
+    assert {m.keep_id for m in marks if m.doc_id in (4, 5, 6)} == {6}
+
+
+def test_exact_dedup_keeps_rows_and_columns(table):
+    docs = frame(table, ROWS)
+    kept = exact_dedup.drop_duplicates(docs)
+    assert kept.dtypes == docs.dtypes
+    found = kept.collect()
+    want = [ROWS[i] for i in brute.kept_of_equal(ROWS)]
+    assert sorted(map(str, [(r.doc_id, r.text) for r in found])) == sorted(map(str, want))
+
+
+def test_every_digest_may_be_hot_or_none(spark, table, monkeypatch):
+    for most in (1, 2):
+        monkeypatch.setattr(exact_dedup, "hot_digests", lambda d, f=exact_dedup.hot_digests, n=most: f(d, 16, n))
+        marks = exact_dedup.mark_duplicates(frame(table, ROWS)).collect()
+        assert sum(m.kept for m in marks) == len(brute.kept_of_equal(ROWS))
+        monkeypatch.undo()
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_near_links_connect_what_brute_force_connects(spark, table, seed):
+    pick = random.Random(seed)
+    prints = [pick.getrandbits(64) for _ in range(60)]
+    for _ in range(240):  # chains and a dense group
+        x = pick.choice(prints if pick.random() < 0.5 else prints[:2])
+        for bit in pick.sample(range(64), pick.randint(1, 4)):
+            x ^= 1 << bit
+        prints.append(x)
+    prints = sorted(set(prints))
+    rows = [(int(np.uint64(x).astype(np.int64)),) for x in prints]
+    frame = table("print BIGINT", *rows)
+    stars = components.connected_components(simhash.near_links(frame, 4, block=16)).collect()
+    root = {r.node: r.root for r in stars}
+    want = brute.components(prints, 4)
+    groups = {}
+    for (x,), w in zip(rows, want):
+        groups.setdefault(w, set()).add(root.get(x, x))
+    assert all(len(g) == 1 for g in groups.values())
+    assert len({next(iter(g)) for g in groups.values()}) == len(groups)
+
+
+def test_thresholds_sum_up_and_are_cheapest():
+    pick = np.random.default_rng(1)
+    costs = np.sort(pick.random((3, 3, 50)), axis=1)
+    chosen = simhash.thresholds(costs, 2)
+    assert (chosen.sum(axis=0) == 2).all()
+    price = lambda t, n: sum(costs[p, x, n] for p, x in enumerate(t) if x >= 0)
+    every = [(a, b, c) for a in range(-1, 3) for b in range(-1, 3) for c in range(-1, 3) if a + b + c == 2]
+    for n in range(50):
+        assert abs(price(chosen[:, n], n) - min(price(t, n) for t in every)) < 1e-9
+
+
+WORDS = "the quick brown fox jumps over the lazy dog and runs away from Here".split()
+TEXTS = [None, "", " ", "One", "one two THREE", " ".join(WORDS), "\t".join(WORDS), " ".join(WORDS * 30), " ".join(WORDS * 30) + " end", "é ß Σ x y z"]
+
+
+def test_simhash_equals_brute_force(table):
+    rows = [(n if n != 4 else None, t) for n, t in enumerate(TEXTS)] + [(3, "One")]
+    found = simhash.near_duplicates(frame(table, rows)).select("doc_id", simhash.print_hex().alias("f"), "component_id").collect()
+    prints = [brute.fingerprint(t) for _, t in rows]
+    assert sorted(r.f for r in found) == sorted(f"{p:016x}" for p in prints)
+    roots = brute.components(prints, 4)
+    least = {}
+    for (i, _), r in zip(rows, roots):
+        if i is not None:
+            least[r] = min(least.get(r, i), i)
+    assert sorted(str((r.doc_id, r.component_id)) for r in found) == sorted(str((i, least.get(r))) for (i, _), r in zip(rows, roots))
+    kept = simhash.keep_one_of_each(frame(table, rows))
+    assert kept.columns == frame(table, rows).columns
+    assert kept.count() == len(set(roots))
+
+
+def test_empty_tables(table):
+    docs = frame(table, [])
+    assert exact_dedup.mark_duplicates(docs).count() == exact_dedup.drop_duplicates(docs).count() == 0
+    assert simhash.near_duplicates(docs).count() == simhash.keep_one_of_each(docs).count() == 0
