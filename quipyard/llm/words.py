@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are split at once; one longer text is split alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -67,7 +67,7 @@ class Memo:
     old one move back.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], most: int = 250_000):
+    def __init__(self, compute: Callable[[list[str]], list], most: int = 200_000):
         self.compute, self.most, self.new, self.old = compute, most, {}, {}
 
     def __call__(self, words: list[str]) -> list:
