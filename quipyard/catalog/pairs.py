@@ -60,6 +60,12 @@ def build_dpo_dataset(t):
     return dpo_dataset(t)
 
 
+@query(sql("SELECT * FROM dpo", *DPO_CTES))
+def build_dpo_dataset_default(t):
+    """With the shown comment inside `details`, as the command line has it."""
+    return datasets.build_dpo_dataset(comments(t), details(t), excluded=EXCLUDED)
+
+
 @query(sql("SELECT * FROM sft", _SFT))
 def build_sft_dataset(t):
     return sft_dataset(t)
@@ -208,6 +214,16 @@ def prepare_dpo(t):
     return sampling.with_split(kept).select("prompt", "chosen", "rejected", "split")
 
 
+@query(sql(f"""
+SELECT prompt, chosen, rejected, CASE WHEN row_number() OVER (ORDER BY {sql_hash('url', 42, 15)})
+  <= ceil(0.1 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
+FROM dpo WHERE {_DPO_OK}""", *DPO_CTES))
+def prepare_dpo_exact(t):
+    """The plan itself, with an exact test share."""
+    train, test, _ = datasets.prepare_dpo(dpo_dataset(t), 50, 10, exact=True, keep_votes=False)
+    return train.withColumn("split", F.lit("train")).union(test.withColumn("split", F.lit("test")))
+
+
 @query(f"""
 SELECT doc_id, CASE WHEN {sql_hash('doc_id', 42, 8)} % 1000 < 100 THEN 'test' ELSE 'train' END AS split
 FROM documents""")

@@ -1,9 +1,10 @@
 """Joins between comments, articles and generations.
 
-No side is broadcast by hint unless its number of rows has a fixed bound: Spark
+No side is broadcast by hint unless its number of rows has a checked bound: Spark
 does so by itself below `spark.sql.autoBroadcastJoinThreshold` and otherwise
-sorts and merges. Keys with very many rows are salted, as run-time skew handling
-only works where both sides come straight from a shuffle.
+sorts and merges. Where both sides come straight from a shuffle, run-time skew
+handling splits a hot key, so those joins are plain and read their inputs once.
+Other joins can be salted, at the price of a count per key.
 """
 
 from __future__ import annotations
@@ -13,24 +14,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quipyard.session import store
+
 ROWS_PER_TASK = 1_000_000
-MAX_HOT_KEYS = 1000
-MAX_SALTS = 1000
+#: Rows of the table of hot keys up to which it is broadcast; beyond, it is joined.
+BROADCAST_KEYS = 100_000
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
-    """(key, salts) for keys with more rows than one task should get; None if there are none.
+    """(key, salts) for every key with more rows than one task should get; None if there are none.
 
-    Looks at the MAX_HOT_KEYS most frequent keys: any other key holds less than a
-    thousandth of the rows. Counts are aggregated before the shuffle.
+    Counts are aggregated before the shuffle and stored; the result may be passed to later joins.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
-    most = counts.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).collect()
-    hot = [(r[key], min(-(-r["count"] // rows_per_task), MAX_SALTS)) for r in most if r["count"] > rows_per_task]
-    if not hot:
-        return None
-    kind = df.schema[key].dataType.simpleString()
-    return df.sparkSession.createDataFrame(hot, f"`{key}` {kind}, _salts INT")
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > rows_per_task)
+    hot = store(counts.select(key, F.ceil(F.col("count") / rows_per_task).cast("int").alias("_salts")), "hot-keys")
+    return hot if hot.head(1) else None
 
 
 def salted_join(
@@ -42,28 +40,31 @@ def salted_join(
     rows_per_task: int = ROWS_PER_TASK,
     counted: DataFrame | None = None,
     copies: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join on `key`.
 
     Rows of a hot left key get a salt from a hash of `spread_by` (all columns by
     default); the matching right rows are repeated once per salt, so each left row
     meets each of its partners exactly once. For inner, left, left_semi and left_anti.
-    Where `left` is costly, `counted` is a table with the same keys to look for hot ones.
+    Null keys meet nothing and are spread over all tasks. Where `left` is costly, `counted`
+    is a table with the same keys to look for hot ones, or `hot` is what `hot_keys` found.
     With `copies`, left rows may be the same in all columns, which no hash can tell
     apart: while there are hot keys, such rows travel as one row with a number.
     """
-    hot = hot_keys((left if counted is None else counted).select(key), key, rows_per_task)
+    if hot is None:
+        hot = hot_keys((left if counted is None else counted).select(key), key, rows_per_task)
     on, columns = [key], left.columns
     copies = copies and hot is not None
     if copies:
         left = _as_portions(left, rows_per_task)
     if hot is not None:
-        # At most MAX_HOT_KEYS rows.
-        hot = F.broadcast(hot)
+        hot = F.broadcast(hot) if hot.count() <= BROADCAST_KEYS else hot
         salts = F.coalesce(F.col("_salts"), F.lit(1))
         salt = F.pmod(F.xxhash64(*(spread_by or columns)), salts)
         if copies:
             salt = F.pmod(salt + F.col("_portion"), salts)
+        salt = F.when(F.col(key).isNull(), F.xxhash64(*columns) % 10_000).otherwise(salt)
         left = left.join(hot, key, "left").withColumn("_salt", salt.cast("int")).drop("_salts")
         every = F.explode(F.sequence(F.lit(0), salts - 1))
         right = right.join(hot, key, "left").withColumn("_salt", every).drop("_salts")
@@ -74,7 +75,7 @@ def salted_join(
 
 def _as_portions(df: DataFrame, rows_per_task: int) -> DataFrame:
     """Equal rows as one row per portion with its number of `_copies`."""
-    portions = F.least(F.ceil(F.col("_rows") / rows_per_task), F.lit(MAX_SALTS)).cast("int")
+    portions = F.ceil(F.col("_rows") / rows_per_task).cast("int")
     extra = (F.col("_portion") < F.col("_rows") % portions).cast("bigint")
     return (
         df.groupBy(*df.columns)
@@ -98,9 +99,13 @@ def _repeated(df: DataFrame, step: int = 10_000) -> DataFrame:
 
 
 def comments_with_articles(comments: DataFrame, details: DataFrame, **salting) -> DataFrame:
-    """Every comment with title, text and top comment of its article."""
+    """Every comment with title, text and top comment of its article.
+
+    Both sides come from a shuffle of their own, so hot articles are split at run time;
+    with options of `salted_join` they are salted instead.
+    """
     articles = details.select("url", "title", "article_text", "top_comment_text")
-    return salted_join(comments, articles, "url", **salting)
+    return salted_join(comments, articles, "url", **salting) if salting else comments.join(articles, "url")
 
 
 def top_comment_matches(comments: DataFrame, details: DataFrame, **salting) -> DataFrame:
@@ -113,9 +118,14 @@ def top_comment_matches(comments: DataFrame, details: DataFrame, **salting) -> D
 
 
 def uncommented_articles(articles: DataFrame, comments: DataFrame, username: str, **salting) -> DataFrame:
-    """Articles on which the user has not commented."""
-    done = comments.where(F.col("username") == username).select("url").distinct()
-    return salted_join(articles, done, "url", "left_anti", **salting)
+    """Articles on which the user has not commented; those without a url count as such.
+
+    The user's comments are not made distinct, so that they come straight from a shuffle.
+    """
+    done = comments.where(F.col("username") == username).select("url")
+    if salting:
+        return salted_join(articles, done.distinct(), "url", "left_anti", **salting)
+    return articles.join(done, "url", "left_anti")
 
 
 def candidate_counts(articles: DataFrame, comments: DataFrame, username: str) -> DataFrame:

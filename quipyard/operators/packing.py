@@ -9,21 +9,25 @@ table of `buckets` rows) give each bucket its place in the stream, a window
 inside the bucket gives each text its place, and the text is sliced once per block
 it touches. Order and cuts do not depend on the number of buckets.
 
-The one shuffle of texts is the one into buckets: blocks inside a bucket are built
-where they are. Only blocks that reach over a bucket's edge, at most two per
-bucket, move again to be joined.
+The one shuffle of texts is the one into buckets: blocks are built there, once, and
+stored. Only those that reach over a bucket's edge, at most two per bucket, move
+again to be joined. Buckets grow in number with the texts, not in size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quipyard.functions.hashing import hash32
 from quipyard.functions.text import words
+from quipyard.session import store
 
-MAX_BUCKETS = 100_000
+#: Buckets up to which their table is broadcast.
+BROADCAST_BUCKETS = 100_000
+#: Bytes of text in a bucket, about.
+BUCKET_BYTES = 32 << 20
 
 
 def pack_sequences(
@@ -35,36 +39,40 @@ def pack_sequences(
     buckets: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """Rows (block_id, tokens) with exactly `length` tokens each; keys are unique."""
-    spark = df.sparkSession
+    """Rows (block_id, tokens) with exactly `length` tokens each; keys are unique.
+
+    Texts without a key are placed by a hash of the text. Without `buckets` the bytes of
+    all texts are summed up first.
+    """
+    texts = df.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
     if buckets is None:
-        buckets = min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
-    place = hash32(F.col(key), seed)
-    bucket = F.coalesce(F.floor(place * F.lit(buckets) / F.lit(float(1 << 32))).cast("int"), F.lit(0))
+        size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = max(-(-size // BUCKET_BYTES), df.sparkSession.sparkContext.defaultParallelism)
+    place = F.coalesce(hash32(F.col("key"), seed), hash32(F.col("text"), seed))
+    bucket = F.floor(place * F.lit(buckets) / F.lit(float(1 << 32))).cast("int")
     tokens = F.array_append(words(F.col("text")), F.lit(separator))
-    rows = df.where(F.col(text).isNotNull()).select(
-        bucket.alias("bucket"), place.alias("place"), F.col(key).alias("key"), F.col(text).alias("text")
+    rows = texts.select(
+        bucket.alias("bucket"), place.alias("place"), "key", "text", F.size(tokens).cast("bigint").alias("n")
     )
 
-    starts = _bucket_starts(rows.select("bucket", F.size(tokens).alias("n")))
+    starts = _bucket_starts(rows)
     # Equal keys should not occur; the text keeps their order the same in every run.
     in_bucket = W.partitionBy("bucket").orderBy("place", "key", "text")
     before = F.sum("n").over(in_bucket.rowsBetween(W.unboundedPreceding, -1))
     placed = (
         # Texts travel as they are: arrays of words take several times the space.
-        rows.withColumn("n", F.size(tokens).cast("bigint"))
-        .withColumn("before", F.coalesce(before, F.lit(0)))
-        # One row per bucket, MAX_BUCKETS at most.
-        .join(F.broadcast(starts), "bucket")
+        rows.withColumn("before", F.coalesce(before, F.lit(0)))
+        # One row per bucket, with `buckets` fixed above.
+        .join(F.broadcast(starts) if buckets <= BROADCAST_BUCKETS else starts, "bucket")
         .withColumn("start", F.col("first") + F.col("before"))
         .withColumn("tokens", tokens)
     )
-    pieces = _cut(placed, length)
-
     whole = F.col("block_id") * length >= F.col("first")
     whole &= (F.col("block_id") + 1) * length <= F.col("last")
-    inner = _join_pieces(pieces.where(whole), ["bucket", "block_id"])
-    edge = _join_pieces(pieces.where(~whole), ["block_id"])
+    blocks = store(_join_pieces(_cut(placed, length), ["bucket", "block_id"], whole), "blocks")
+    inner = blocks.where("whole").select("block_id", "tokens")
+    parts = blocks.where("NOT whole").select("block_id", "start", F.col("tokens").alias("piece"))
+    edge = _join_pieces(parts, ["block_id"], F.lit(False)).select("block_id", "tokens")
     return inner.union(edge.where(F.size("tokens") == length))
 
 
@@ -90,11 +98,12 @@ def _cut(placed: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _join_pieces(pieces: DataFrame, by: list[str]) -> DataFrame:
-    """Tokens of each block in stream order; a block is bounded by its length."""
+def _join_pieces(pieces: DataFrame, by: list[str], whole: Column) -> DataFrame:
+    """Tokens of each block in stream order, from where they start; bounded by a block's length."""
     ordered = F.sort_array(F.collect_list(F.struct("start", "piece")))
     return (
-        pieces.groupBy(*by)
-        .agg(ordered.alias("parts"))
-        .select("block_id", F.flatten(F.col("parts.piece")).alias("tokens"))
+        pieces.withColumn("whole", whole)
+        .groupBy(*by)
+        .agg(ordered.alias("parts"), F.min("start").alias("start"), F.first("whole").alias("whole"))
+        .select("block_id", "start", "whole", F.flatten(F.col("parts.piece")).alias("tokens"))
     )

@@ -2,9 +2,10 @@
 
 A rank limit becomes a key limit: counting keys in ever finer buckets closes in on
 the key that holds a wanted rank. Every pass reads one column, aggregates before
-the shuffle and returns at most FANOUT counts per wanted rank to the driver; once
-no more than FANOUT keys are left for a rank, one last pass fetches those. The
-result is then a plain comparison per row: no shuffle, no single-task window.
+the shuffle and returns at most FANOUT counts per wanted rank to the driver, fewer
+where many ranks are wanted; once no more keys than that are left for a rank, one
+last pass fetches those. The
+result is then a comparison or a search per row: no shuffle, no single-task window.
 """
 
 from __future__ import annotations
@@ -15,7 +16,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quipyard.session import store
+
 FANOUT = 4096
+#: Counts or keys that one pass brings to the driver, for all ranks together.
+MOST_COUNTS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -25,30 +30,32 @@ class _Span:
     low: int
     high: int
     rows: int
+    fan: int
 
     @property
     def width(self) -> int:
         """Keys per bucket."""
-        return -(-(self.high - self.low + 1) // FANOUT)
+        return -(-(self.high - self.low + 1) // self.fan)
 
     @property
     def is_open(self) -> bool:
-        return self.low < self.high and self.rows > FANOUT
+        return self.low < self.high and self.rows > self.fan
 
 
 def _whole_keys(df: DataFrame, key: Column) -> DataFrame:
     return df.select(key.cast("bigint").alias("k")).where("k IS NOT NULL")
 
 
-def _whole_span(keys: DataFrame) -> _Span | None:
+def _whole_span(keys: DataFrame, ranks: int) -> _Span | None:
     low, high, rows = keys.agg(F.min("k"), F.max("k"), F.count("k")).first()
-    return _Span(low, high, rows) if rows else None
+    fan = max(2, min(FANOUT, MOST_COUNTS // max(1, ranks)))
+    return _Span(low, high, rows, fan) if rows else None
 
 
 def keys_at_ranks(df: DataFrame, key: Column, ranks: Sequence[int]) -> list[int]:
     """The r-th smallest whole-number key for each 1-based rank r."""
-    keys = _whole_keys(df, key)
-    whole = _whole_span(keys)
+    keys = store(_whole_keys(df, key), "keys")  # the input is evaluated once
+    whole = _whole_span(keys, len(ranks))
     if whole is None:
         raise ValueError("no rows to rank")
     return _find(keys, whole, ranks)
@@ -64,20 +71,25 @@ def _find(keys: DataFrame, whole: _Span, ranks: Sequence[int]) -> list[int]:
     return [span.low if span.low == span.high else few[span][left - 1] for span, left in at]
 
 
-def _in_spans(keys: DataFrame, spans: Sequence[_Span], value: str) -> DataFrame:
-    """(s, v) for keys in span number s; spans do not overlap."""
-    cases = " ".join(
-        f"WHEN k BETWEEN {s.low}L AND {s.high}L THEN "
-        f"named_struct('s', {i}, 'v', {value.format(low=s.low, width=s.width)})"
-        for i, s in enumerate(spans)
-    )
-    return keys.select(F.expr(f"CASE {cases} END").alias("at")).where("at IS NOT NULL").select("at.*")
+def _in_spans(keys: DataFrame, spans: Sequence[_Span], buckets: bool) -> DataFrame:
+    """(s, v) for keys in span number s, v the bucket or the key; sorted spans that do not overlap."""
+    lows, highs, widths = (_longs([getattr(s, name) for s in spans]) for name in ("low", "high", "width"))
+    at = (_places_below(F.col("k") + 1, [s.low for s in spans]) - 1).alias("s")
+    found = keys.select("k", at).where((F.col("s") >= 0) & (F.col("k") <= F.get(highs, F.col("s"))))
+    inside = (F.col("k") - F.get(lows, F.col("s")), F.get(widths, F.col("s")))
+    value = F.floor((inside[0] - inside[0] % inside[1]) / inside[1]) if buckets else F.col("k")
+    return found.select("s", value.alias("v"))
+
+
+def _longs(values: Sequence[int]) -> Column:
+    """Array literal, folded once."""
+    return F.expr("array(" + ",".join(f"{v}L" for v in values) + ")")
 
 
 def _bucket_counts(keys: DataFrame, wanted: set[_Span]) -> dict[_Span, dict[int, int]]:
     spans = sorted(wanted, key=lambda s: s.low)
     counts: dict[_Span, dict[int, int]] = {s: {} for s in spans}
-    for i, bucket, n in _in_spans(keys, spans, "(k - {low}L) DIV {width}L").groupBy("s", "v").count().collect():
+    for i, bucket, n in _in_spans(keys, spans, True).groupBy("s", "v").count().collect():
         counts[spans[i]][bucket] = n
     return counts
 
@@ -87,7 +99,7 @@ def _narrow(span: _Span, left: int, counts: dict[int, int]) -> tuple[_Span, int]
         rows = counts[bucket]
         if left <= rows:
             low = span.low + bucket * span.width
-            return _Span(low, min(low + span.width - 1, span.high), rows), left
+            return _Span(low, min(low + span.width - 1, span.high), rows, span.fan), left
         left -= rows
     raise ValueError("rank beyond the number of rows")
 
@@ -98,7 +110,7 @@ def _fetch(keys: DataFrame, wanted: set[_Span]) -> dict[_Span, list[int]]:
         return {}
     spans = sorted(wanted, key=lambda s: s.low)
     found: dict[_Span, list[int]] = {s: [] for s in spans}
-    for i, k in _in_spans(keys, spans, "k").collect():
+    for i, k in _in_spans(keys, spans, False).collect():
         found[spans[i]].append(k)
     return {s: sorted(ks) for s, ks in found.items()}
 
@@ -110,24 +122,40 @@ def chunk_sizes(rows: int, chunks: int) -> list[int]:
 
 def assign_chunks(df: DataFrame, position: str, chunks: int = 8) -> DataFrame:
     """Contiguous near-equal chunks by a unique whole-number position, numbered from 1."""
-    keys = _whole_keys(df, F.col(position))
-    whole = _whole_span(keys)
+    keys = store(_whole_keys(df, F.col(position)), "keys")
+    whole = _whole_span(keys, chunks)
     if whole is None:
         return df.withColumn("chunk", F.lit(None).cast("int"))
     sizes = [n for n in chunk_sizes(whole.rows, chunks) if n]
     cuts = _find(keys, whole, [sum(sizes[: i + 1]) for i in range(len(sizes) - 1)])
-    chunk = F.lit(len(sizes))
-    for i in reversed(range(len(cuts))):
-        chunk = F.when(F.col(position) <= cuts[i], F.lit(i + 1)).otherwise(chunk)
-    return df.withColumn("chunk", F.when(F.col(position).isNotNull(), chunk))
+    # chunks in front of the position's own, by binary search in the sorted cut points
+    before = _places_below(F.col(position).cast("bigint"), cuts)
+    return df.withColumn("chunk", F.when(F.col(position).isNotNull(), before + 1).cast("int"))
+
+
+def _places_below(value: Column, cuts: Sequence[int]) -> Column:
+    """How many of the sorted cut points are less than the value."""
+    if not cuts:
+        return F.lit(0)
+    array = _longs(cuts)
+    middle = lambda s: F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+
+    def halve(s: Column, _: Column) -> Column:
+        below = F.get(array, middle(s)) < value
+        return F.struct(
+            F.when((s["lo"] < s["hi"]) & below, middle(s) + 1).otherwise(s["lo"]).alias("lo"),
+            F.when((s["lo"] < s["hi"]) & ~below, middle(s)).otherwise(s["hi"]).alias("hi"),
+        )
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
+    steps = F.sequence(F.lit(1), F.lit(len(cuts).bit_length()))
+    return F.aggregate(steps, start, halve)["lo"]
 
 
 def spread(df: DataFrame, chunks: int | None = None) -> DataFrame:
     """At least so many even partitions, where order does not matter; by default one per core.
 
-    A table that already comes in as many parts is left as it is, so large inputs
-    are not shuffled. Meant for tables as read from files: asking for the number of
-    parts would run the shuffles of a longer plan.
+    Tables read from as many files are left as they are; nothing is run to find out.
     """
     chunks = chunks or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= chunks else df.repartition(chunks)
+    return df if len(df.inputFiles()) >= chunks else df.repartition(chunks)

@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 
 from quipyard.functions.hashing import hash32, hash60
 from quipyard.operators.ranks import keys_at_ranks
+from quipyard.session import store
 
 # Share and seed of the held-out part.
 TEST_SHARE = 0.1
 SEED = 42
 
 
-def first_n(df: DataFrame, position: str, n: int = 3) -> DataFrame:
-    """First rows in page order."""
-    return df.orderBy(F.col(position).asc_nulls_last()).limit(n)
+def first_n(df: DataFrame, position: str, n: int = 3, *ties: str) -> DataFrame:
+    """First rows in page order, equal positions by the columns `ties`."""
+    return df.orderBy(F.col(position).asc_nulls_last(), *ties).limit(n)
 
 
 def sample_one(df: DataFrame, key: Column, seed: int = SEED) -> DataFrame:
@@ -43,9 +44,10 @@ def with_split(
     if not exact:
         in_test = in_test_bucket(column, share, seed)
     else:
-        size = math.ceil(share * df.count())
         hashed = hash60(column, seed)
-        in_test = hashed <= keys_at_ranks(df, hashed, [size])[0] if size else F.lit(False)
+        keys = store(df.select(hashed.alias("hash")), "split-keys")
+        size = math.ceil(share * keys.count())
+        in_test = hashed <= keys_at_ranks(keys, F.col("hash"), [size])[0] if size else F.lit(False)
     return df.withColumn("split", F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
 
 

@@ -21,11 +21,14 @@ def select_candidates(
 ) -> DataFrame:
     """The first n articles in archive order that suit and that the user has not commented on.
 
-    The texts join only after the choice, so n rows at most carry them.
+    An article listed or captured many times counts once, at its first position; equal
+    positions go by url. The texts join only after the choice, so at most n urls look for
+    them; of several texts of a url the least is taken.
     """
-    order = filter_candidates(articles.select("url", position), **filters)
-    chosen = first_n(uncommented_articles(order, comments, username), position, n)
-    texts = articles.select(
-        "url", position, title_and_text(F.col("title"), F.col("article_text")).alias("title_article_text")
-    )
-    return chosen.join(texts, ["url", position])
+    listed = articles.where("url IS NOT NULL").groupBy("url").agg(F.min(position).alias(position))
+    order = filter_candidates(listed, **filters)
+    chosen = first_n(uncommented_articles(order, comments, username), position, n, "url")
+    text = title_and_text(F.col("title"), F.col("article_text")).alias("title_article_text")
+    # n rows at most
+    texts = articles.join(F.broadcast(chosen.select("url")), "url").groupBy("url").agg(F.min(text).alias("title_article_text"))
+    return chosen.join(texts, "url").select("url", position, "title_article_text")

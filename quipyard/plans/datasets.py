@@ -24,13 +24,17 @@ from quipyard.operators.sampling import SEED, TEST_SHARE, train_test_split
 
 
 def build_sft_dataset(
-    comments: DataFrame, details: DataFrame, separator: str = " ", excluded: Sequence[str] = EXCLUDED_WORDS
+    comments: DataFrame,
+    details: DataFrame,
+    separator: str = " ",
+    excluded: Sequence[str] = EXCLUDED_WORDS,
+    salting: dict | None = None,
 ) -> DataFrame:
     """Articles with the comment that the article page shows as its top comment.
 
     Unsuitable articles go before the join, so their comments find no partner.
     """
-    matched = top_comment_matches(comments, filter_articles(details, excluded))
+    matched = top_comment_matches(comments, filter_articles(details, excluded), **(salting or {}))
     return matched.withColumn("title_article_text", title_and_text(F.col("title"), F.col("article_text"), separator))
 
 

@@ -173,6 +173,36 @@ def test_candidates(table):
     assert [(r.url, r.title_article_text) for r in chosen] == [(f"u{i}", f"T text {i}") for i in (1, 2, 4)]
 
 
+def test_candidates_are_n_rows_in_a_fixed_order(table):
+    articles = table(
+        "url STRING, position INT, title STRING, article_text STRING",
+        ("a", 1, "T", "x"), ("a", 1, "T", "y"), ("a", 0, "T", "x"), ("b", 1, "T", "z"), ("c", 1, "T", "w"), (None, 0, "T", "v"),
+    )
+    comments = table("url STRING, username STRING", (None, "me"))
+    for n in (1, 2, 3):
+        chosen = candidates.select_candidates(articles, comments, "me", n).orderBy("position", "url").collect()
+        assert [r.url for r in chosen] == ["a", "b", "c"][:n]
+    assert chosen[0].title_article_text == "T x" and chosen[0].position == 0
+
+
+def test_more_hot_keys_than_one_broadcast(table, monkeypatch):
+    rows = [(f"k{i % 1500}", i) for i in range(4500)] + [(None, i) for i in range(200)] + [("k1", 7)] * 20
+    left = table("url STRING, n INT", *rows)
+    right = table("url STRING, m INT", *[(f"k{i}", i) for i in range(0, 1500, 2)], (None, 1))
+    for most in (100_000, 10):
+        monkeypatch.setattr(joins, "BROADCAST_KEYS", most)
+        assert joins.hot_keys(left, "url", 2).count() == 1500
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            plain = sorted(map(str, left.join(right, "url", how).collect()))
+            assert sorted(map(str, joins.salted_join(left, right, "url", how, rows_per_task=2).collect())) == plain
+
+
+def test_no_excluded_words_keep_all(table):
+    articles = table(DETAILS, ("u-video", "Photo", None, "x", None), ("u", None, None, "x", None))
+    assert [r.url for r in filters.filter_articles(articles, []).collect()] == ["u-video"]
+    assert filters.filter_candidates(articles, []).count() == 2
+
+
 def test_comment_lookup(table):
     df = table("comment_id STRING, username STRING", ("x3726y", "ann"), ("37-26", "bob"), ("372", None))
     assert [r.comment_id for r in filters.comment_id_contains(df, "3726").collect()] == ["x3726y"]
@@ -214,7 +244,7 @@ def test_salts_split_a_hot_key(table):
     assert sum(sizes) == 300 and len(sizes) == 10 and max(sizes) < 60
 
 
-def test_copies_of_one_article_are_spread_and_kept(table, monkeypatch):
+def test_copies_of_one_article_are_spread_and_kept(table):
     comments = table(COMMENTS, *[(f"c{i}", u, f"t{i}", i, 1, "ann") for i, u in enumerate("hhhabc")])
     rows = [("h", "T", None, "same", "top")] * 57 + [("h", "T", None, None, "top")] * 3
     rows += [("a", "T", None, "x", "top"), ("a", "T", None, "x", "top"), ("b", "T", None, "x", None)]
@@ -227,7 +257,6 @@ def test_copies_of_one_article_are_spread_and_kept(table, monkeypatch):
 
     portions = joins._as_portions(details.select("url", "article_text"), 10).where("article_text = 'same'").collect()
     assert sorted(r._copies for r in portions) == [9, 9, 9, 10, 10, 10]
-    monkeypatch.setattr(joins, "MAX_SALTS", 2)
-    capped = joins._as_portions(details.select("url", "article_text"), 10)
-    assert sorted(r._copies for r in capped.where("article_text = 'same'").collect()) == [28, 29]
-    assert joins._repeated(capped, step=4).count() == len(rows)
+    two = joins._as_portions(details.select("url", "article_text"), 30)
+    assert sorted(r._copies for r in two.where("article_text = 'same'").collect()) == [28, 29]
+    assert joins._repeated(two, step=4).count() == len(rows)

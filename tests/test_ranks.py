@@ -98,6 +98,20 @@ def test_packing_moves_texts_once(spark):
     packed = pack_sequences(df, "k", "t", 16, buckets=4)
     packed.collect()
     plan = packed._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    # The stage that spreads texts over buckets runs once and is used by both branches.
-    assert "ReusedExchange [bucket" in plan
+    # The blocks are built once and stored: no window and no split of a text is left for either branch.
+    assert "Window" not in plan and "split(" not in plan and "Scan parquet" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_many_chunks(spark):
+    rows = spark.range(12_000).select((F.col("id") * 3).alias("position"))
+    found = ranks.assign_chunks(rows, "position", 10_000).orderBy("position").collect()
+    want = [i + 1 for i, n in enumerate(ranks.chunk_sizes(12_000, 10_000)) for _ in range(n)]
+    assert [r.chunk for r in found] == want
+
+
+def test_packing_spreads_texts_without_key(spark):
+    rows = [(None, f"t{i} a b") for i in range(60)] + [(f"k{i}", "c d") for i in range(10)]
+    df = spark.createDataFrame(rows, "k STRING, t STRING")
+    packed = [sorted(map(str, pack_sequences(df, "k", "t", 10, buckets=n).collect())) for n in (1, 7)]
+    assert packed[0] == packed[1] and len(packed[0]) == (60 * 4 + 10 * 3) // 10
