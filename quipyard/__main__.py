@@ -6,15 +6,15 @@ import argparse
 import json
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from quipyard.operators.sampling import SEED, TEST_SHARE, with_split
 from quipyard.plans import candidates, datasets, ingest
-from quipyard.plans.review import log_records, review_generations
 from quipyard.schemas import DPO_DATASET, REVIEW_INPUT, SFT_DATASET
 from quipyard.session import build_session
 from quipyard.sources import tables
 from quipyard.sources.pages import extract_links, read_pages
-from quipyard.streaming.review_log import read_generated_stream, start_review_log
+from quipyard.streaming.review_log import read_generated_stream, review_batch, start_review_log
 
 
 def build_sft_dataset(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -70,15 +70,18 @@ def select_candidates(spark: SparkSession, args: argparse.Namespace) -> None:
     urls = extract_links(read_pages(spark, args.archive_pages_path), pattern=args.pattern)
     details = tables.read_details(spark, args.df_article_details_path)
     comments = tables.read_comments_csv(spark, args.df_comments_path)
-    listed = details.join(urls.select("url", "position"), "url")
+    # list pages in the order of their addresses, links in the order of the page
+    place = F.min(F.struct("page_url", "position")).alias("position")
+    listed = details.join(urls.groupBy("url").agg(place), "url")
     chosen = candidates.select_candidates(listed, comments, args.username, args.num_comments_desired)
     tables.write_jsonl(chosen, args.output_path)
 
 
 def review(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Log the good ones of generated comments."""
-    accepted, _ = review_generations(spark.read.schema(REVIEW_INPUT).json(args.generated_path))
-    tables.append_comment_log(log_records(accepted), args.log_path)
+    """Log generated comments: the good ones, and the others with reasons."""
+    generated = spark.read.schema(REVIEW_INPUT).json(args.generated_path, mode="FAILFAST")
+    dated = generated.withColumn("datetime", F.coalesce("datetime", F.current_timestamp()))
+    review_batch(dated, args.log_path, args.rejected_path or args.log_path.rstrip("/") + ".rejected")
 
 
 def review_stream(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -123,7 +126,7 @@ def parser() -> argparse.ArgumentParser:
     choose.add_argument("--num_comments_desired", type=int, default=3)
     choose.add_argument("--pattern")
 
-    command(review, "generated_path", "log_path")
+    command(review, "generated_path", "log_path").add_argument("--rejected_path", help="default: LOG_PATH.rejected")
     live = command(review_stream, "generated_path", "log_path", "rejected_path", "checkpoint")
     live.add_argument("--available_now", action="store_true")
     return top

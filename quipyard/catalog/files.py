@@ -141,6 +141,37 @@ def details_json_roundtrip(t):
     return tables.read_details_json(t.spark, path)
 
 
+@query(sql("""
+SELECT url, title, CAST(NULL AS VARCHAR) AS description, article_text, top_comment_text FROM details"""))
+def details_json_any_name(t):
+    """Lines under a name that says nothing, found out by `read_details`."""
+    path = scratch_path(t.spark, "details") + ".json"
+    tables.write_jsonl(details(t), path)
+    return tables.read_details(t.spark, path)
+
+
+@query(sql("SELECT * FROM dpo", *DPO_CTES))
+def jsonl_float_votes(t):
+    """Votes written as 12.0."""
+    path = scratch_path(t.spark, "pairs") + ".jsonl"
+    votes = [f.name for f in DPO_DATASET if f.dataType.typeName() == "long"]
+    tables.write_jsonl(dpo_dataset(t).withColumns({c: F.col(c).cast("double") for c in votes}), path)
+    return tables.read_dataset(t.spark, path, DPO_DATASET)
+
+
+@query(sql("""
+SELECT CAST(comment_id AS VARCHAR) AS comment_id, url, nullif(comment_text, '') AS comment_text, pcu_value, pcd_value,
+       username FROM comments"""))
+def csv_mixed_headers(t):
+    """Files of one folder whose columns stand in different orders."""
+    path = scratch_path(t.spark, "comments") + ".csv"
+    first = F.col("username") == "user"
+    tables.write_csv(comments(t).where(first), path)
+    rest = comments(t).where(~first | F.col("username").isNull())
+    tables.write_csv(rest.select(*reversed(rest.columns)), path, mode="append")
+    return tables.read_comments_csv(t.spark, path, na_tokens=("",))
+
+
 @query("SELECT url FROM pages")
 def urls_roundtrip(t):
     path = scratch_path(t.spark, "urls") + ".csv"
@@ -181,6 +212,19 @@ def comment_log_append(t):
     return tables.read_comment_log(t.spark, path).select("comment_id", "url", "comment")
 
 
+@query(sql("SELECT DISTINCT url, comment_text AS comment FROM comments"))
+def comment_log_null_ids(t):
+    """Records without an id, logged twice: each of them once, in a table of their own."""
+    path = scratch_path(t.spark, "comment-log")
+    records = comments(t).select(
+        F.lit(None).cast("string").alias("comment_id"), "url", F.col("comment_text").alias("comment")
+    )
+    dated = records.withColumn("datetime", F.lit("2024-01-01").cast("timestamp"))
+    for _ in range(2):
+        tables.append_comment_log(dated, path)
+    return tables.read_comment_log(t.spark, path + tables.NO_KEY).select("url", "comment")
+
+
 @query(f"""
 SELECT CAST(doc_id AS VARCHAR) AS comment_id, lang AS url, text AS comment, NOT {SQL_BAD} AS accepted FROM documents""")
 def stream_review_log(t):
@@ -199,5 +243,5 @@ def stream_review_log(t):
             generated, log, rejected, scratch_path(t.spark, "stream"), available_now=True
         ).awaitTermination()
     kept = tables.read_comment_log(t.spark, log).withColumn("accepted", F.lit(True))
-    dropped = t.spark.read.schema(REJECTED_LOG).json(rejected).withColumn("accepted", F.lit(False))
+    dropped = tables.read_log(t.spark, rejected, REJECTED_LOG).withColumn("accepted", F.lit(False))
     return kept.unionByName(dropped.drop("reasons")).drop("datetime")

@@ -28,5 +28,16 @@ def token_probability(logprob: Column) -> Column:
 
 
 def percent_text(share: Column) -> Column:
-    """Percent with two decimals."""
-    return F.format_string("%.2f%%", share * F.lit(100.0))
+    """Percent with two decimals, rounded on the exact binary value, ties to even."""
+    value = F.abs(share * F.lit(100.0))
+    hundredths = value * 100.0
+    # what the product has lost: the halves of the factor multiply exactly
+    split = value * 134_217_729.0
+    high = split - (split - value)
+    lost = (high * 100.0 - hundredths) + (value - high) * 100.0
+    whole = F.floor(hundredths)
+    over = (hundredths - whole - 0.5) + lost
+    rounded = whole + F.when((over > 0) | ((over == 0) & (whole % 2 == 1)), 1).otherwise(0)
+    sign = F.when(share < 0, "-").otherwise("")
+    cents = F.lpad((rounded % 100).cast("string"), 2, "0")
+    return F.concat(sign, F.floor((rounded - rounded % 100) / 100).cast("string"), F.lit("."), cents, F.lit("%"))

@@ -24,9 +24,10 @@ def request_batches(
 ) -> DataFrame:
     """Request bodies with the texts of `size` consecutive positions each.
 
-    Positions are unique, so a body holds at most `size` texts.
+    Positions are unique, so a body holds at most `size` texts; a row without a position is an error.
     """
-    batch = F.floor(F.col(position) / F.lit(size)).cast("bigint")
+    missing = F.raise_error(F.lit("a row has no position"))
+    batch = F.when(F.col(position).isNull(), missing).otherwise(F.floor(F.col(position) / F.lit(size))).cast("bigint")
     entries = F.sort_array(F.collect_list(F.struct(F.col("position"), F.col("text"))))
     return (
         df.select(batch.alias("batch_id"), F.col(position).alias("position"), text.alias("text"))

@@ -56,10 +56,11 @@ def flatten_results(df: DataFrame, column: str, position: str | None = None) ->
 
 
 def zip_results(df: DataFrame, left: str, right: str) -> DataFrame:
-    """Pair two array columns by position, as far as the shorter one reaches."""
+    """Pair two array columns by position; arrays of unequal length are an error."""
     rest = [c for c in df.columns if c not in (left, right)]
-    n = F.least(F.size(left), F.size(right))
-    pairs = F.arrays_zip(F.slice(F.col(left), F.lit(1), n), F.slice(F.col(right), F.lit(1), n))
+    unequal = F.raise_error(F.lit("arrays of unequal length"))
+    same = F.size(left) == F.size(right)
+    pairs = F.arrays_zip(F.when(~same, unequal).otherwise(F.col(left)), F.col(right))
     return df.select(*rest, F.inline(pairs).alias(left, right))
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quipyard.functions.text import word_count
+from quipyard.functions.text import words
 from quipyard.functions.votes import vote_ratio
 
 # Words that mark articles without enough text.
@@ -19,8 +19,9 @@ MIN_WORDS = 5
 MAX_WORDS = 300
 
 
-def _contains_none(text: Column, words: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [~text.contains(w) for w in words])
+def _contains_none(text: Column, excluded: Sequence[str]) -> Column:
+    """Null for a null text, also without words."""
+    return reduce(lambda a, b: a & b, [~text.contains(w) for w in excluded], F.when(text.isNotNull(), True))
 
 
 def suitable_article(url: Column, title: Column, excluded: Sequence[str] = EXCLUDED_WORDS) -> Column:
@@ -79,9 +80,14 @@ def matches_url(url: Column, pattern: str) -> Column:
     return url.rlike(pattern)
 
 
+def _words_seen(comment: Column) -> Column:
+    """Number of words, counted no further than one beyond the most."""
+    return F.size(words(comment, MAX_WORDS + 1))
+
+
 def generation_problems(comment: Column) -> Column:
     """Names of all problems of a generated comment; an empty array if it is fine."""
-    n = word_count(comment)
+    n = _words_seen(comment)
     found = [F.when(comment.contains(a), F.lit(f"contains {a}")) for a in ARTIFACTS]
     found += [
         F.when(n < MIN_WORDS, F.lit("too short")),
@@ -93,7 +99,7 @@ def generation_problems(comment: Column) -> Column:
 
 def is_problem_comment(comment: Column) -> Column:
     """True for a comment that must not be used; a missing one counts as such."""
-    n = word_count(comment)
+    n = _words_seen(comment)
     bad = reduce(lambda a, b: a | b, [comment.contains(a) for a in ARTIFACTS])
     return F.coalesce(bad | (n < MIN_WORDS) | (n > MAX_WORDS), F.lit(True))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quipyard.functions.text import iso_timestamp
-from quipyard.operators.filters import generation_problems, is_problem_comment
+from quipyard.operators.filters import generation_problems
 
 
 def with_problems(generated: DataFrame) -> DataFrame:
@@ -15,9 +15,13 @@ def with_problems(generated: DataFrame) -> DataFrame:
 
 
 def review_generations(generated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected with reasons)."""
-    bad = is_problem_comment(F.col("comment"))
-    return generated.where(~bad), with_problems(generated.where(bad))
+    """(accepted, rejected with reasons), both read off one mark per row.
+
+    A generator need not repeat itself: store its output first, as `review_batch` does.
+    """
+    marked = with_problems(generated)
+    good = F.size("reasons") == 0
+    return marked.where(good).drop("reasons"), marked.where(~good)
 
 
 def log_records(accepted: DataFrame, now=None) -> DataFrame:

@@ -55,3 +55,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(stored: DataFrame) -> None:
+    """Remove the folder of a stored table that nothing will read again."""
+    spark = stored.sparkSession
+    below = shared_dir(spark).removeprefix("file:").strip("/") + "/"
+    for folder in {f.rpartition("/")[0] for f in stored.inputFiles()}:
+        if not folder.removeprefix("file:").lstrip("/").startswith(below):
+            raise ValueError(f"{folder} is not below the shared folder")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,10 @@ from quipyard.functions.votes import parse_votes
 from quipyard.operators.columns import na_tokens_to_null
 from quipyard.schemas import ARTICLE_URLS, CLEAN_DETAILS, COMMENT_LOG, COMMENTS, DETAILS, NA_TOKENS, RAW_COMMENTS
 
+#: Folders of a log, and what its rows without an id are called.
+BUCKETS = 64
+NO_KEY = ".without-id"
+
 # Cells may hold line breaks and doubled quotes; texts keep their outer blanks.
 _CSV = {
     "header": True,
@@ -25,20 +31,44 @@ _CSV = {
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     """Text cells, columns found by header name, null tokens as null.
 
-    The file's header decides the order of columns, so the first line is read on
-    its own; columns the schema lacks are left out, missing ones are null.
+    Each file's own header decides the order of its columns; columns the schema
+    lacks are left out, missing ones are null.
+    """
+    parts = [_read_same_header(spark, files, header, schema) for header, files in _files_by_header(spark, path)]
+    cells = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+    return na_tokens_to_null(cells, na_tokens)
+
+
+def _files_by_header(spark: SparkSession, path: str) -> list[tuple[tuple[str, ...], list[str]]]:
+    """Column names and the files that have them in this order.
+
+    One file is parsed no further than its header; of many files the first lines are looked up.
     """
-    header = spark.read.options(**_CSV, multiLine=True, inferSchema=False).csv(path).columns
-    as_text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    cells = spark.read.options(**_CSV, multiLine=True, enforceSchema=True).schema(as_text).csv(path)
-    found = {c.lower().replace(" ", "_"): c for c in header}
-    picked = cells.select(
+    reader = spark.read.options(**_CSV, inferSchema=False)
+    files = sorted(spark.read.text(path).inputFiles())
+    if len(files) < 2:
+        return [(tuple(reader.option("multiLine", True).csv(path).columns), [path])] if files else []
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value", place.alias("place"))
+    # one row per file
+    heads = lines.groupBy("file").agg(F.min_by("value", "place").alias("head")).orderBy("file").collect()
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in heads:
+        header = tuple(next(csv.reader([row.head.removeprefix("\ufeff").rstrip("\r")]), ()))
+        found.setdefault(header, []).append(row.file)
+    return list(found.items())
+
+
+def _read_same_header(spark: SparkSession, files: list[str], header: Sequence[str], schema: T.StructType) -> DataFrame:
+    as_text = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+    cells = spark.read.options(**_CSV, multiLine=True, enforceSchema=True).schema(as_text).csv(files)
+    found = {c.lower().replace(" ", "_"): f"c{i}" for i, c in enumerate(header)}
+    return cells.select(
         *[
-            (F.col(f"`{found[f.name]}`") if f.name in found else F.lit(None).cast("string")).alias(f.name)
+            (F.col(found[f.name]) if f.name in found else F.lit(None).cast("string")).alias(f.name)
             for f in schema.fields
         ]
     )
-    return na_tokens_to_null(picked, na_tokens)
 
 
 def read_comments_csv(spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
@@ -48,13 +78,19 @@ def read_comments_csv(spark: SparkSession, path: str, na_tokens: Sequence[str] =
     return raw.withColumns(votes).select(*COMMENTS.names)
 
 
-def read_details_json(spark: SparkSession, path: str) -> DataFrame:
-    """Article details from JSON lines (`.jsonl`) or from arrays of records.
+def read_details_json(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
+    """Article details from JSON lines under any name, or with `array` from files of one array each.
 
-    A file with an array is read by one task; keep large tables in lines or in many files.
+    A line or file that is no such JSON is an error. A file with an array is read by
+    one task; keep large tables in lines or in many files.
     """
-    by_line = path.rstrip("/").lower().endswith(".jsonl")
-    return spark.read.schema(DETAILS).option("multiLine", not by_line).json(path)
+    if not array:
+        return spark.read.schema(DETAILS).json(path, mode="FAILFAST")
+    whole = F.trim(F.regexp_replace("value", r"\A\s+|\s+\z", ""))
+    is_array = whole.startswith("[") & whole.endswith("]")
+    checked = F.when(is_array, whole).otherwise(F.raise_error(F.lit("a file is not one JSON array")))
+    rows = F.from_json(checked, T.ArrayType(DETAILS), {"mode": "FAILFAST"})
+    return spark.read.text(path, wholetext=True).select(F.inline(rows))
 
 
 def read_details_csv(spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
@@ -63,10 +99,12 @@ def read_details_csv(spark: SparkSession, path: str, na_tokens: Sequence[str] =
 
 
 def read_details(spark: SparkSession, path: str) -> DataFrame:
-    """Details in either format, told apart by the file name."""
-    if path.rstrip("/").lower().endswith(".csv"):
-        return read_details_csv(spark, path).select(*DETAILS.names)
-    return read_details_json(spark, path)
+    """Details in any of the three formats, told apart by how the first file begins."""
+    first = spark.read.text(path).where("length(trim(value)) > 0").first()
+    start = first.value.strip()[:1] if first else "{"
+    if start in "[{":
+        return read_details_json(spark, path, array=start == "[")
+    return read_details_csv(spark, path).select(*DETAILS.names)
 
 
 def read_urls(spark: SparkSession, path: str) -> DataFrame:
@@ -75,10 +113,16 @@ def read_urls(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_dataset(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
-    """JSON lines if the name says so, else a table of that name."""
-    if "jsonl" in name:
-        return spark.read.schema(schema).json(name)
-    return spark.table(name).select(*schema.names)
+    """JSON lines if the name says so, else a table of that name.
+
+    Whole numbers may be written as `12` or `12.0`. A broken line is an error.
+    """
+    if "jsonl" not in name:
+        return spark.table(name).select(*schema.names)
+    whole = {f.name for f in schema.fields if isinstance(f.dataType, T.LongType)}
+    as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name in whole else f.dataType) for f in schema])
+    rows = spark.read.schema(as_text).json(name, mode="FAILFAST")
+    return rows.withColumns({c: parse_votes(F.col(c)) for c in whole}).select(*schema.names)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -100,21 +144,33 @@ def append_new(df: DataFrame, path: str, schema: T.StructType, key: str = "comme
     """Append rows whose key the table does not hold yet; existing rows never change.
 
     Of several new rows with one key the smallest (by all columns) is kept, so a
-    repeated run writes the same row. Rows without a key cannot be told apart and
-    are left out. One writer at a time.
+    repeated run writes the same row. Rows without a key go to the table at
+    `path` + NO_KEY, told apart by a hash of all their columns. The table is kept in
+    BUCKETS folders by a hash of the key; only those of the new rows are read.
+    One writer at a time.
     """
+    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    unnamed = rows.where(F.col(key).isNull())
+    digest = F.sha2(F.to_json(F.struct(*schema.names), {"ignoreNullFields": "false"}), 256)
+    wide = T.StructType([*schema.fields, T.StructField("row_hash", T.StringType())])
+    _append_keyed(unnamed.withColumn("row_hash", digest), path.rstrip("/") + NO_KEY, wide, "row_hash")
+    _append_keyed(rows.where(F.col(key).isNotNull()), path, schema, key)
+
+
+def _append_keyed(rows: DataFrame, path: str, schema: T.StructType, key: str) -> None:
+    spark = rows.sparkSession
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+    buckets = [r.bucket for r in rows.select(bucket.alias("bucket")).distinct().collect()]  # BUCKETS at most
+    create_if_missing(spark, path, schema)
+    if not buckets:
+        return
     rest = [c for c in schema.names if c != key]
-    new = (
-        df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        .where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(F.struct(*rest)).alias("row"))
-        .select(key, "row.*")
-        .select(*schema.names)
-    )
-    create_if_missing(df.sparkSession, path, schema)
-    held = df.sparkSession.read.schema(schema).json(path).select(key)
-    write_jsonl(new.join(held, key, "left_anti"), path, mode="append")
+    new = rows.groupBy(key).agg(F.min(F.struct(*rest)).alias("row")).select(key, "row.*")
+    keyed = T.StructType([schema[key], T.StructField("bucket", T.IntegerType())])
+    # rows outside the folders come from a table without buckets
+    held = spark.read.schema(keyed).json(path).where(F.col("bucket").isin(buckets) | F.col("bucket").isNull())
+    fresh = new.join(held.select(key), key, "left_anti").select(*schema.names, bucket.alias("bucket"))
+    fresh.write.mode("append").partitionBy("bucket").option("ignoreNullFields", "false").json(path)
 
 
 def append_comment_log(df: DataFrame, path: str) -> None:
@@ -122,5 +178,10 @@ def append_comment_log(df: DataFrame, path: str) -> None:
     append_new(df, path, COMMENT_LOG)
 
 
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a log, without the column of its folders."""
+    return spark.read.schema(schema).json(path).select(*schema.names)
+
+
 def read_comment_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(COMMENT_LOG).json(path)
+    return read_log(spark, path, COMMENT_LOG)

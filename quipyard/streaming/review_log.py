@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from quipyard.plans.review import review_generations
+from quipyard.plans.review import with_problems
 from quipyard.schemas import COMMENT_LOG, REVIEW_INPUT
+from quipyard.session import discard, store
 from quipyard.sources.tables import append_new
 
 REJECTED_LOG = T.StructType(COMMENT_LOG.fields + [T.StructField("reasons", T.ArrayType(T.StringType()))])
@@ -24,9 +26,12 @@ def read_generated_stream(spark: SparkSession, path: str, files_per_trigger: int
 def review_batch(batch: DataFrame, log_path: str, rejected_path: str) -> None:
     """Append one batch to both logs. Ids that a log already holds are left alone,
     so a batch that runs again, or the same input under a new checkpoint, adds nothing."""
-    accepted, rejected = review_generations(batch)
+    marked = store(with_problems(batch), "reviewed")
+    good = F.size("reasons") == 0
+    accepted, rejected = marked.where(good), marked.where(~good)
     append_new(accepted, log_path, COMMENT_LOG)
     append_new(rejected, rejected_path, REJECTED_LOG)
+    discard(marked)
 
 
 def start_review_log(

@@ -6,6 +6,7 @@ from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from quipyard.functions.votes import percent_text
 from quipyard.operators import batching, filters, scores
 from quipyard.plans import generation, review
 from quipyard.session import store
@@ -200,3 +201,14 @@ def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Session())
+
+
+def test_percent_equals_exact_rounding(spark, table):
+    shares = [0.00125, 0.28125, 0.285, 0.00285, 1.0, 0.0, 0.99995, 0.123456, -0.5, 1e-9, 12.34565] + [i / 80_000 for i in range(4000)]
+    rows = table("i INT, share DOUBLE", *enumerate(shares)).select("i", percent_text(F.col("share")).alias("text"))
+    assert [r.text for r in sorted(rows.collect())] == [f"{x:.2%}" for x in shares]
+
+
+def test_rows_without_position_are_an_error(table):
+    with pytest.raises(Exception):
+        batching.request_batches(table("position INT, text STRING", (None, "x"), (1, "y")), F.col("text"), "position", 2).collect()

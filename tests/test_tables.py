@@ -1,5 +1,7 @@
+import datetime
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from quipyard.operators import columns
@@ -131,12 +133,15 @@ def test_column_operators(table):
 
 
 def test_flatten_and_zip(spark):
-    rows = [(1, ["a", "b"], ["x", "y", "z"]), (2, [], ["q"]), (3, None, None)]
+    rows = [(1, ["a", "b"], ["x", "y"]), (2, [], []), (3, None, None)]
     df = spark.createDataFrame(rows, "k INT, left ARRAY<STRING>, right ARRAY<STRING>")
     flat = columns.flatten_results(df.drop("right"), "left", "at")
     assert sorted(map(tuple, flat.collect())) == [(1, 0, "a"), (1, 1, "b")]
     pairs = columns.zip_results(df, "left", "right")
     assert sorted(map(tuple, pairs.collect())) == [(1, "a", "x"), (1, "b", "y")]
+    unequal = spark.createDataFrame([(1, ["a", "b"], ["x", "y", "z"])], df.schema)
+    with pytest.raises(Exception):
+        columns.zip_results(unequal, "left", "right").collect()
 
 
 def test_month_pages(spark):
@@ -144,3 +149,48 @@ def test_month_pages(spark):
 
     df = spark.createDataFrame([(datetime(2024, 2, 29),)], "t TIMESTAMP_NTZ")
     assert archive.month_pages(df, F.col("t"), "b?").first().url == "b?catid=0&year=2024&month=2"
+
+
+def test_details_of_either_json(spark, tmp_path):
+    lines, array, both = (tmp_path / n for n in ("a.json", "b.jsonl", "c"))
+    rows = [{"url": f"u{i}", "title": "T", "description": None, "article_text": "x\ny", "top_comment_text": "t"} for i in range(5)]
+    lines.write_text("\n".join(json.dumps(r) for r in rows))
+    array.write_text(" \n" + json.dumps(rows, indent=1) + "\n")
+    for path in (lines, array):
+        found = tables.read_details(spark, str(path)).collect()
+        assert sorted(r.url for r in found) == [f"u{i}" for i in range(5)] and found[0].article_text == "x\ny"
+    both.write_text(json.dumps(rows) + "\n" + json.dumps(rows[0]))
+    broken = tmp_path / "d"
+    broken.write_text('{"url": "u1"}\n{"url": "u2", "ti')
+    for path, array in ((both, True), (lines, True), (broken, False)):
+        with pytest.raises(Exception):
+            tables.read_details_json(spark, str(path), array=array).collect()
+
+
+def test_csv_headers_by_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('comment_id,url,comment_text,pcu_value,pcd_value,username\n1,u,"x,\ny",5,2,ann\n')
+    (tmp_path / "b.csv").write_text("pcd_value,PCU Value,comment_id,url,comment_text,more\n2,5,2,u,z,m\n")
+    found = sorted(tables.read_comments_csv(spark, str(tmp_path)).collect())
+    assert [(r.comment_id, r.comment_text, r.pcu_value, r.pcd_value, r.username) for r in found] == [
+        ("1", "x,\ny", 5, 2, "ann"), ("2", "z", 5, 2, None)
+    ]
+
+
+def test_votes_with_a_point(spark, tmp_path):
+    path = tmp_path / "d.jsonl"
+    path.write_text('{"prompt": "p", "chosen_pcu": 12.0, "rejected_pcu": 3, "chosen_pcd": null, "rejected_pcd": "x"}\n')
+    [row] = tables.read_dataset(spark, str(path), DPO_DATASET).collect()
+    assert (row.chosen_pcu, row.rejected_pcu, row.chosen_pcd, row.rejected_pcd) == (12, 3, None, None)
+
+
+def test_log_reads_only_its_buckets(spark, table, tmp_path):
+    path = str(tmp_path / "log")
+    moment = datetime.datetime(2024, 1, 1)
+    kind = "comment_id STRING, url STRING, comment STRING, datetime TIMESTAMP"
+    tables.append_comment_log(table(kind, *[(f"c{i}", "u", "x", moment) for i in range(300)]), path)
+    assert len(list((tmp_path / "log").glob("bucket=*"))) > 30
+    records = table(kind, ("c5", "u", "other", moment), ("new", "u", "x", moment), (None, "u", "x", moment), (None, "u", "x", moment))
+    for _ in range(2):
+        tables.append_comment_log(records, path)
+    assert tables.read_comment_log(spark, path).count() == 301
+    assert tables.read_comment_log(spark, path + tables.NO_KEY).count() == 1
