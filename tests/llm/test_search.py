@@ -108,6 +108,33 @@ def test_repeated_passages(table):
     assert passages.repeated_passages(docs.filter("false")).count() == 0
 
 
+def test_passages_of_repeated_phrases(table):
+    a, b, c = prose(3)
+    line = prose(11)
+    texts = [
+        [*prose(20), *[a] * 30, *prose(9)],
+        [*[a] * 12, *prose(15), *[a] * 55],
+        [*prose(4), *[a] * 300],
+        [*prose(7), *[a] * 50],
+        [*[a] * 49],
+        [*prose(3), *[b, c] * 40],
+        [*[c, b] * 60, *prose(30)],
+        [*prose(30), *line * 9],
+        [*line[4:], *line * 12, *prose(5)],
+        [*line * 4],
+        [*[c] * 200],
+        [*[b, b, c] * 30],
+    ]
+    docs = table("doc_id BIGINT, text STRING", *[(i, " ".join(w)) for i, w in enumerate(texts)])
+    found = passages.repeated_passages(docs).collect()
+    runs = [{tuple(w[i : i + 50]) for i in range(len(w) - 49)} for w in texts]
+    repeated = {i for i, r in enumerate(runs) if any(r & other for j, other in enumerate(runs) if j != i)}
+    assert repeated == {1, 2, 3, 5, 6, 7, 8}
+    assert {r.doc_id for r in found} | {r.source_id for r in found} == repeated
+    for r in found:
+        assert texts[r.doc_id][r.start : r.end] == texts[r.source_id][r.source_start : r.source_end]
+
+
 def test_longest_common_subsequence():
     pick = random.Random(4)
     for _ in range(200):
