@@ -74,7 +74,7 @@ def _find(keys: DataFrame, whole: _Span, ranks: Sequence[int]) -> list[int]:
 def _in_spans(keys: DataFrame, spans: Sequence[_Span], buckets: bool) -> DataFrame:
     """(s, v) for keys in span number s, v the bucket or the key; sorted spans that do not overlap."""
     lows, highs, widths = (_longs([getattr(s, name) for s in spans]) for name in ("low", "high", "width"))
-    at = (_places_below(F.col("k") + 1, [s.low for s in spans]) - 1).alias("s")
+    at = (places_below(F.col("k") + 1, [s.low for s in spans]) - 1).alias("s")
     found = keys.select("k", at).where((F.col("s") >= 0) & (F.col("k") <= F.get(highs, F.col("s"))))
     inside = (F.col("k") - F.get(lows, F.col("s")), F.get(widths, F.col("s")))
     value = F.floor((inside[0] - inside[0] % inside[1]) / inside[1]) if buckets else F.col("k")
@@ -129,11 +129,11 @@ def assign_chunks(df: DataFrame, position: str, chunks: int = 8) -> DataFrame:
     sizes = [n for n in chunk_sizes(whole.rows, chunks) if n]
     cuts = _find(keys, whole, [sum(sizes[: i + 1]) for i in range(len(sizes) - 1)])
     # chunks in front of the position's own, by binary search in the sorted cut points
-    before = _places_below(F.col(position).cast("bigint"), cuts)
+    before = places_below(F.col(position).cast("bigint"), cuts)
     return df.withColumn("chunk", F.when(F.col(position).isNotNull(), before + 1).cast("int"))
 
 
-def _places_below(value: Column, cuts: Sequence[int]) -> Column:
+def places_below(value: Column, cuts: Sequence[int]) -> Column:
     """How many of the sorted cut points are less than the value."""
     if not cuts:
         return F.lit(0)
