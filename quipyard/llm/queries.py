@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipyard.llm import bpe, decontamination, exact_dedup, passages, pii, sharding, simhash, suffix_tree_lm, token_shards, toxicity
+from quipyard.llm import (
+    bpe,
+    decontamination,
+    exact_dedup,
+    fingerprints,
+    merkle,
+    neighbours,
+    passages,
+    periodic_runs,
+    pii,
+    sharding,
+    simhash,
+    suffix_tree_lm,
+    token_shards,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +135,93 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_decode(documents(spark, folder), tokenizer_file(), digests=True)
+
+
+def with_planted_period(doc_id: Column, text: Column) -> Column:
+    """The text, or for a tenth of the ids its words with a periodic tail, joined by spaces.
+
+    Rows without an id are left as they are.
+    """
+    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+    n = F.size(words)
+    hashed = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(hashed / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    period = F.slice(words, a + 1, p)
+    tail = F.slice(F.flatten(F.array_repeat(period, F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    edited = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+    return F.when((hashed % 10 == 0) & (n > 0), edited).otherwise(text)
+
+
+def op11_digests(runs: Column, collapsed: Column) -> list[Column]:
+    """Columns of the report on one text."""
+    best = F.array_min(
+        F.transform(runs, lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period")))
+    )
+    length = -best["shorter"]
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.concat(F.array_join(F.transform(runs, line), "\n"), F.when(F.size(runs) > 0, "\n").otherwise(""))
+    return [
+        F.size(runs).cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        length.alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * length / best["period"]).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2(collapsed, 256).alias("collapsed_sha256"),
+    ]
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    edited = documents(spark, folder).select("doc_id", with_planted_period(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.collapse_runs(edited)
+    return found.select("doc_id", *op11_digests(F.col("runs"), F.col("collapsed")))
+
+
+@query()
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    own = {"sketch": fingerprints.fingerprint(F.col("text")), "n_chars": F.length("text").cast("long")}
+    pairs = neighbours.with_next(docs, "doc_id", "text", own, ["text", "sketch"])
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    kept = F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half)
+    edited = pairs.withColumn("edited", F.concat(kept, F.substring("next_text", F.lit(1), half)))
+    sketched = edited.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "sketch",
+        fingerprints.fingerprint(F.col("edited")).alias("edited_sketch"),
+        "next_sketch",
+    )
+    return sketched.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.to_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.to_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        fingerprints.distinct_shingles(F.col("sketch")).alias("distinct_shingles"),
+        fingerprints.containment(F.col("edited_sketch"), F.col("sketch")).alias("edited_in_own"),
+    )
+
+
+@query()
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = [F.col("n_chars") + 1 if c == "n_chars" else F.col(c) for c in columns]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    leaves = documents(spark, folder).select(
+        "doc_id",
+        "lang",
+        merkle.leaf_hash([F.col(c) for c in columns]).alias("leaf"),
+        F.when(tampered, merkle.leaf_hash(changed)).alias("tampered"),
+    )
+    manifest = merkle.build(leaves, "lang", "doc_id", "leaf", ["tampered"])
+    checked = merkle.check_rows(manifest, F.coalesce("row.c0", "row.leaf"))
+    return checked.select(
+        F.col("row.id").alias("doc_id"), "row.leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
