@@ -14,7 +14,7 @@ from quipyard.operators.ranks import places_below
 from quipyard.session import store
 
 #: Bytes of text in a range, about, and most ranges: the cut points go to every task.
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 2 << 20
 MOST_RANGES = 1 << 16
 
 
@@ -25,7 +25,7 @@ def _starts(ids: DataFrame, range_bytes: int) -> list[int]:
     if ranges < 2:
         return []
     shares = [i / ranges for i in range(1, ranges)]
-    guess = sorted(set(ids.agg(F.percentile_approx("id", shares, 100 * ranges)).first()[0]))
+    guess = sorted(set(ids.agg(F.percentile_approx("id", shares, max(10_000, 10 * ranges))).first()[0]))
     # the guesses are rounded; what counts is the least id of each range
     first = ids.filter("id IS NOT NULL").groupBy(_range(F.col("id"), guess)).agg(F.min("id").alias("id"))
     return sorted(r.id for r in first.collect())[1:]
