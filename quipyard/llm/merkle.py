@@ -6,7 +6,7 @@ both are interchangeable. While several nodes remain, every two consecutive ones
 digests' text; a last one alone becomes the H of itself. What remains is the group's subroot; subroots,
 ordered by group (null first, then by UTF-8 bytes), give the root in the same way.
 
-Leaf coordinates come from bitmaps, not from a sort. Ids of a group are cut into chunks of 2^16; each
+Leaf coordinates come from bitmaps, not from a sort. Ids of a group are cut into chunks of 2^13; each
 chunk is a compressed bitmap with a directory of the ones before every 512 bits, put together from parts
 of any number of tasks. A running sum over the chunks' totals gives each chunk its first coordinate, and
 a leaf's own is that plus its rank in the bitmap. Only chunks are ordered, ranges of them at a time.
@@ -39,7 +39,7 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from quipyard.session import store
 
 #: Ids in a chunk, bits in an entry of its directory.
-CHUNK = 1 << 16
+CHUNK = 1 << 13
 ENTRY = 512
 #: Levels that one round reduces.
 LEVELS = 10
@@ -362,7 +362,7 @@ def build(leaves: DataFrame, group: str, id: str, leaf: str, carry: Sequence[str
     """Manifest of the leaves; `row` holds id, leaf and the columns `carry`. Ids are whole numbers."""
     number = F.col(id).cast("bigint")
     # null ids have a chunk of their own below all others
-    chunk = F.coalesce(F.shiftright(number, 16), F.lit(-(1 << 48)))
+    chunk = F.coalesce(F.shiftright(number, CHUNK.bit_length() - 1), F.lit(-(1 << 62)))
     low = F.coalesce(number.bitwiseAND(F.lit(CHUNK - 1)), F.lit(0)).cast("int")
     row = F.struct(number.alias("id"), F.col(leaf).alias("leaf"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
     # '' for null, which sorts first; other names keep their byte order
