@@ -209,7 +209,61 @@ def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
+def _sql_leaf(n_chars: str) -> str:
+    fields = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", n_chars, "text")]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+def _sql_tree(name: str, leaves: str) -> str:
+    """Views `name`: every node (g, level, i, h, n nodes on its level), and `name`_steps: what a leaf meets on its way up."""
+    return f"""
+    {name} AS (
+      SELECT g, 0 AS level, i, h, count(*) OVER (PARTITION BY g) AS n FROM {leaves}
+      UNION ALL
+      SELECT g, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (max(n) + 1) // 2
+      FROM {name} WHERE n > 1 GROUP BY g, level, i // 2),
+    {name}_steps AS (
+      SELECT a.g, a.i, list(CASE WHEN s.h IS NULL THEN 'N' WHEN (a.i >> u.level) & 1 = 1 THEN 'L' || s.h ELSE 'R' || s.h END
+                            ORDER BY u.level) AS steps
+      FROM {leaves} a JOIN (SELECT DISTINCT g, level FROM {name} WHERE n > 1) u ON a.g = u.g
+      LEFT JOIN {name} s ON s.g = a.g AND s.level = u.level AND s.i = xor(a.i >> u.level, 1)
+      GROUP BY a.g, a.i)"""
+
+
+_SQL_CRC32 = """xor(list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+    lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT)"""
+
+
+@query(
+    f"""
+    WITH RECURSIVE hashed AS (
+      SELECT doc_id, coalesce('=' || lang, '') AS g, {_sql_leaf("n_chars")} AS h,
+             CASE WHEN {_SQL_CRC32} % 7 = 0 THEN {_sql_leaf("n_chars + 1")} END AS tampered
+      FROM documents),
+    leaves AS (
+      SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM hashed),
+    {_sql_tree("node", "leaves")},
+    subroots AS (
+      SELECT g AS name, '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, h FROM node WHERE n = 1),
+    {_sql_tree("upper_node", "subroots")},
+    walked AS (
+      SELECT l.doc_id, l.h AS leaf, r.h AS subroot, coalesce(l.tampered, l.h) AS claimed,
+             (SELECT h FROM upper_node WHERE n = 1) AS root,
+             list_concat(coalesce(a.steps, []), coalesce(b.steps, [])) AS steps
+      FROM leaves l JOIN subroots r ON r.name = l.g
+      LEFT JOIN node_steps a ON a.g = l.g AND a.i = l.i
+      LEFT JOIN upper_node_steps b ON b.i = r.i),
+    folded AS (
+      SELECT *, list_reduce(list_prepend(claimed, steps), lambda h, s:
+        CASE s[1] WHEN 'L' THEN sha256(s[2:] || h) WHEN 'R' THEN sha256(h || s[2:]) ELSE sha256(h) END) AS folded_root
+      FROM walked)
+    SELECT doc_id, leaf, subroot, root, folded_root, folded_root = root AS verified,
+           sha256(array_to_string(list_transform(list_filter(steps, lambda s: s <> 'N'), lambda s: s[2:]), '')) AS proof_sha256
+    FROM folded
+    """
+)
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["doc_id", "source", "lang", "n_chars", "text"]
     changed = [F.col("n_chars") + 1 if c == "n_chars" else F.col(c) for c in columns]
