@@ -172,6 +172,29 @@ def csv_mixed_headers(t):
     return tables.read_comments_csv(t.spark, path, na_tokens=("",))
 
 
+@query(sql("""
+SELECT CAST(comment_id AS VARCHAR) AS comment_id, url, nullif(comment_text, '') AS comment_text, pcu_value, pcd_value,
+       username FROM comments"""))
+def csv_split_file(t):
+    """One file with line breaks in its cells, read in as many byte ranges as Spark deals it out in."""
+    path = scratch_path(t.spark, "comments") + ".csv"
+    broken = F.concat("comment_text", F.lit('\n"'), "comment_text", F.lit('",\r\n'))
+    tables.write_csv(comments(t).withColumn("comment_text", broken).coalesce(1), path, rows_per_file=0)
+    back = tables.read_comments_csv(t.spark, path, na_tokens=())
+    whole = F.expr("substring(comment_text, 1, (length(comment_text) - 6) div 2)")
+    kept = F.when(F.col("comment_text") == F.concat(whole, F.lit('\n"'), whole, F.lit('",\r\n')), whole)
+    return back.withColumn("comment_text", F.nullif(kept, F.lit("")))
+
+
+@query(sql("""
+SELECT url, title, CAST(NULL AS VARCHAR) AS description, article_text, top_comment_text FROM details"""))
+def details_json_array(t):
+    """Files of one array each."""
+    path = scratch_path(t.spark, "details") + ".json"
+    tables.write_json_arrays(details(t), path)
+    return tables.read_details(t.spark, path)
+
+
 @query("SELECT url FROM pages")
 def urls_roundtrip(t):
     path = scratch_path(t.spark, "urls") + ".csv"

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
-from functools import reduce
+import io
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quipyard.functions.votes import parse_votes
 from quipyard.operators.columns import na_tokens_to_null
 from quipyard.schemas import ARTICLE_URLS, CLEAN_DETAILS, COMMENT_LOG, COMMENTS, DETAILS, NA_TOKENS, RAW_COMMENTS
+from quipyard.sources.ranges import CsvLines, JsonPieces, cut_records, find_ranges, last_ranges, read_pieces
 
 #: Folders of a log, and what its rows without an id are called.
 BUCKETS = 64
@@ -26,54 +28,55 @@ _CSV = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+# One record as text: line breaks inside are part of a cell.
+_CELLS = {**_CSV, "header": False, "multiLine": True}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    na_tokens: Sequence[str] = NA_TOKENS,
+    required: Sequence[str] = (),
+) -> DataFrame:
     """Text cells, columns found by header name, null tokens as null.
 
     Each file's own header decides the order of its columns; columns the schema
-    lacks are left out, missing ones are null.
+    lacks are left out, missing ones are null. A header with none of the columns, or
+    without a `required` one, is an error. A file of any size is read by many tasks
+    (see `quipyard.sources.ranges`), for which all lines are looked at once before.
     """
-    parts = [_read_same_header(spark, files, header, schema) for header, files in _files_by_header(spark, path)]
-    cells = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
-    return na_tokens_to_null(cells, na_tokens)
-
-
-def _files_by_header(spark: SparkSession, path: str) -> list[tuple[tuple[str, ...], list[str]]]:
-    """Column names and the files that have them in this order.
-
-    One file is parsed no further than its header; of many files the first lines are looked up.
-    """
-    reader = spark.read.options(**_CSV, inferSchema=False)
-    files = sorted(spark.read.text(path).inputFiles())
-    if len(files) < 2:
-        return [(tuple(reader.option("multiLine", True).csv(path).columns), [path])] if files else []
-    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value", place.alias("place"))
-    # one row per file
-    heads = lines.groupBy("file").agg(F.min_by("value", "place").alias("head")).orderBy("file").collect()
-    found: dict[tuple[str, ...], list[str]] = {}
-    for row in heads:
-        header = tuple(next(csv.reader([row.head.removeprefix("\ufeff").rstrip("\r")]), ()))
-        found.setdefault(header, []).append(row.file)
-    return list(found.items())
-
-
-def _read_same_header(spark: SparkSession, files: list[str], header: Sequence[str], schema: T.StructType) -> DataFrame:
-    as_text = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    cells = spark.read.options(**_CSV, multiLine=True, enforceSchema=True).schema(as_text).csv(files)
-    found = {c.lower().replace(" ", "_"): f"c{i}" for i, c in enumerate(header)}
-    return cells.select(
-        *[
-            (F.col(found[f.name]) if f.name in found else F.lit(None).cast("string")).alias(f.name)
-            for f in schema.fields
-        ]
+    kind = CsvLines()
+    pieces = read_pieces(spark, path, kind)
+    ranges = find_ranges(pieces, kind)
+    # one row for each wording of the header
+    heads = [r.head for r in ranges.where("head IS NOT NULL").select("head").distinct().orderBy("head").collect()]
+    if not heads:
+        return spark.createDataFrame([], schema)
+    wordings = F.array(*[F.lit(head) for head in heads])
+    tag = F.array_position(wordings, F.max("head").over(Window.partitionBy("file")))
+    records = cut_records(pieces, ranges, kind, tag).where(~F.col("first"))
+    lines = records.select("tag", F.rtrim("record", F.lit("\r\n")).alias("record")).where("record <> ''")
+    rows = [F.when(F.col("tag") == i, _by_header(head, schema, required)) for i, head in enumerate(heads, 1)]
+    return na_tokens_to_null(lines.select(F.coalesce(*rows).alias("row")).select("row.*"), na_tokens)
+
+
+def _by_header(head: str, schema: T.StructType, required: Sequence[str]) -> Column:
+    """The columns of the schema out of a record below this header."""
+    line = head.removeprefix("\ufeff").rstrip("\r\n")
+    header = [c.lower().replace(" ", "_") for c in next(csv.reader(io.StringIO(line, newline="")))]
+    if "\r" in line or not set(schema.names) & set(header) or not set(required) <= set(header):
+        raise ValueError(f"a CSV file begins with {line[:200]!r}, which is no header for {', '.join(schema.names)}")
+    places = {name: f"c{i}" for i, name in enumerate(header)}
+    cells = F.from_csv("record", ", ".join(f"{c} STRING" for c in places.values()), {k: str(v).lower() for k, v in _CELLS.items()})
+    return F.struct(
+        *[(cells[places[n]] if n in places else F.lit(None).cast("string")).alias(n) for n in schema.names]
     )
 
 
 def read_comments_csv(spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     """Comments with whole-number votes; cells that are no number become null votes."""
-    raw = read_csv(spark, path, RAW_COMMENTS, na_tokens)
+    raw = read_csv(spark, path, RAW_COMMENTS, na_tokens, required=["url"])
     votes = {c: parse_votes(F.col(c)) for c in ("pcu_value", "pcd_value")}
     return raw.withColumns(votes).select(*COMMENTS.names)
 
@@ -81,21 +84,31 @@ def read_comments_csv(spark: SparkSession, path: str, na_tokens: Sequence[str] =
 def read_details_json(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
     """Article details from JSON lines under any name, or with `array` from files of one array each.
 
-    A line or file that is no such JSON is an error. A file with an array is read by
-    one task; keep large tables in lines or in many files.
+    A line or file that is no such JSON is an error. A file is read by many tasks in either form.
     """
     if not array:
         return spark.read.schema(DETAILS).json(path, mode="FAILFAST")
-    whole = F.trim(F.regexp_replace("value", r"\A\s+|\s+\z", ""))
-    is_array = whole.startswith("[") & whole.endswith("]")
-    checked = F.when(is_array, whole).otherwise(F.raise_error(F.lit("a file is not one JSON array")))
-    rows = F.from_json(checked, T.ArrayType(DETAILS), {"mode": "FAILFAST"})
-    return spark.read.text(path, wholetext=True).select(F.inline(rows))
+    kind = JsonPieces()
+    pieces = read_pieces(spark, path, kind)
+    ranges = find_ranges(pieces, kind)
+    # the closing bracket leads to depth 0, and the brace taken for granted behind it to -1
+    broken = F.count_if((F.col("end_state") != 0) | (F.col("end_depth") != -1))
+    files, bad = last_ranges(ranges).agg(F.count("*"), broken).first()
+    if bad or files < len(pieces.inputFiles()):
+        raise ValueError(f"a file of {path} is not one JSON array")
+    records = cut_records(pieces, ranges, kind, F.lit(0).cast("bigint"))
+    at = F.instr("record", "{")
+    lead = F.regexp_replace(F.when(at > 0, F.substr("record", F.lit(1), at - 1)).otherwise(F.col("record")), r"[\s\x{FEFF}]+", "")
+    parted = records.select("first", "record", at.alias("at"), lead.alias("lead")).where("at > 0 OR lead NOT IN (']}', '[]}')")
+    right = (F.col("at") > 0) & (F.col("lead") == F.when(F.col("first"), "[").otherwise(","))
+    wrong = F.raise_error(F.lit("a file is not one JSON array of objects"))
+    body = F.when(right, F.substr("record", F.col("at"))).otherwise(wrong)
+    return parted.select(F.from_json(body, DETAILS, {"mode": "FAILFAST"}).alias("row")).select("row.*")
 
 
 def read_details_csv(spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     """Article details as written by the ingest step."""
-    return read_csv(spark, path, CLEAN_DETAILS, na_tokens)
+    return read_csv(spark, path, CLEAN_DETAILS, na_tokens, required=["url"])
 
 
 def read_details(spark: SparkSession, path: str) -> DataFrame:
@@ -135,6 +148,23 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file:
     df.write.mode(mode).options(**_CSV, maxRecordsPerFile=rows_per_file).csv(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Files of one JSON array each, a record per line, null fields written out."""
+
+    def enclosed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = "["
+        for batch in batches:
+            lines = []
+            for record in batch.column("value"):
+                lines.append(mark + record.as_py())
+                mark = ","
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if mark == "," else "[]"])], ["value"])
+
+    records = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    records.mapInArrow(enclosed, "value STRING").write.mode(mode).text(path)
+
+
 def create_if_missing(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Empty JSON table at a path where there is none yet."""
     spark.createDataFrame([], schema).write.mode("ignore").json(path)
