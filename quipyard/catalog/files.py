@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from quipyard.catalog.adapters import comments, details, pages, sql, sql_lines
@@ -10,7 +12,7 @@ from quipyard.catalog.registry import query
 from quipyard.catalog.texts import SQL_BAD
 from quipyard.operators import filters
 from quipyard.plans import ingest
-from quipyard.schemas import DETAILS, DPO_DATASET
+from quipyard.schemas import COMMENT_LOG, DETAILS, DPO_DATASET
 from quipyard.session import scratch_path
 from quipyard.sources import archive, tables
 from quipyard.sources import pages as page_source
@@ -235,6 +237,24 @@ def comment_log_append(t):
     return tables.read_comment_log(t.spark, path).select("comment_id", "url", "comment")
 
 
+@query(sql("SELECT CAST(comment_id AS VARCHAR) AS comment_id, url, comment_text AS comment FROM comments"))
+def log_two_writers(t):
+    """Two writers at once, each with all comments in overlapping parts: every id is there once."""
+    path = scratch_path(t.spark, "comment-log")
+    records = comments(t).select("comment_id", "url", F.col("comment_text").alias("comment")).withColumn(
+        "datetime", F.lit("2024-01-01").cast("timestamp")
+    )
+    parts = [F.col("comment_id") % 3 != i for i in range(3)]
+
+    def write(order):
+        for i in order:
+            tables.append_comment_log(records.where(parts[i]), path)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(write, ([0, 1, 2], [2, 0, 1])))
+    return tables.read_comment_log(t.spark, path).select("comment_id", "url", "comment")
+
+
 @query(sql("SELECT DISTINCT url, comment_text AS comment FROM comments"))
 def comment_log_null_ids(t):
     """Records without an id, logged twice: each of them once, in a table of their own."""
@@ -245,7 +265,7 @@ def comment_log_null_ids(t):
     dated = records.withColumn("datetime", F.lit("2024-01-01").cast("timestamp"))
     for _ in range(2):
         tables.append_comment_log(dated, path)
-    return tables.read_comment_log(t.spark, path + tables.NO_KEY).select("url", "comment")
+    return tables.read_log_without_id(t.spark, path, COMMENT_LOG).select("url", "comment")
 
 
 @query(f"""

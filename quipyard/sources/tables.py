@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 from quipyard.functions.votes import parse_votes
 from quipyard.operators.columns import na_tokens_to_null
 from quipyard.schemas import ARTICLE_URLS, CLEAN_DETAILS, COMMENT_LOG, COMMENTS, DETAILS, NA_TOKENS, RAW_COMMENTS
+from quipyard.sources import log
 from quipyard.sources.ranges import CsvLines, JsonPieces, cut_records, find_ranges, last_ranges, read_pieces
 
-#: Folders of a log, and what its rows without an id are called.
-BUCKETS = 64
+#: What is appended to the path of a log for its rows without an id.
 NO_KEY = ".without-id"
 
 # Cells may hold line breaks and doubled quotes; texts keep their outer blanks.
@@ -165,42 +165,26 @@ def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None
     records.mapInArrow(enclosed, "value STRING").write.mode(mode).text(path)
 
 
-def create_if_missing(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Empty JSON table at a path where there is none yet."""
-    spark.createDataFrame([], schema).write.mode("ignore").json(path)
-
-
-def append_new(df: DataFrame, path: str, schema: T.StructType, key: str = "comment_id") -> None:
-    """Append rows whose key the table does not hold yet; existing rows never change.
+def append_new(
+    df: DataFrame,
+    path: str,
+    schema: T.StructType,
+    key: str = "comment_id",
+    source: str | None = None,
+    batch: int | None = None,
+) -> None:
+    """Append rows to a log (see `quipyard.sources.log`); rows whose key it holds already do not count.
 
     Of several new rows with one key the smallest (by all columns) is kept, so a
-    repeated run writes the same row. Rows without a key go to the table at
-    `path` + NO_KEY, told apart by a hash of all their columns. The table is kept in
-    BUCKETS folders by a hash of the key; only those of the new rows are read.
-    One writer at a time.
+    repeated run writes the same row. Rows without a key go to the log at
+    `path` + NO_KEY, told apart by a hash of all their columns.
     """
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    unnamed = rows.where(F.col(key).isNull())
     digest = F.sha2(F.to_json(F.struct(*schema.names), {"ignoreNullFields": "false"}), 256)
     wide = T.StructType([*schema.fields, T.StructField("row_hash", T.StringType())])
-    _append_keyed(unnamed.withColumn("row_hash", digest), path.rstrip("/") + NO_KEY, wide, "row_hash")
-    _append_keyed(rows.where(F.col(key).isNotNull()), path, schema, key)
-
-
-def _append_keyed(rows: DataFrame, path: str, schema: T.StructType, key: str) -> None:
-    spark = rows.sparkSession
-    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
-    buckets = [r.bucket for r in rows.select(bucket.alias("bucket")).distinct().collect()]  # BUCKETS at most
-    create_if_missing(spark, path, schema)
-    if not buckets:
-        return
-    rest = [c for c in schema.names if c != key]
-    new = rows.groupBy(key).agg(F.min(F.struct(*rest)).alias("row")).select(key, "row.*")
-    keyed = T.StructType([schema[key], T.StructField("bucket", T.IntegerType())])
-    # rows outside the folders come from a table without buckets
-    held = spark.read.schema(keyed).json(path).where(F.col("bucket").isin(buckets) | F.col("bucket").isNull())
-    fresh = new.join(held.select(key), key, "left_anti").select(*schema.names, bucket.alias("bucket"))
-    fresh.write.mode("append").partitionBy("bucket").option("ignoreNullFields", "false").json(path)
+    unnamed = rows.where(F.col(key).isNull()).withColumn("row_hash", digest)
+    log.append(unnamed, path.rstrip("/") + NO_KEY, wide, "row_hash", source, batch)
+    log.append(rows.where(F.col(key).isNotNull()), path, schema, key, source, batch)
 
 
 def append_comment_log(df: DataFrame, path: str) -> None:
@@ -208,9 +192,15 @@ def append_comment_log(df: DataFrame, path: str) -> None:
     append_new(df, path, COMMENT_LOG)
 
 
-def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The rows of a log, without the column of its folders."""
-    return spark.read.schema(schema).json(path).select(*schema.names)
+def read_log(spark: SparkSession, path: str, schema: T.StructType, key: str = "comment_id") -> DataFrame:
+    """The rows of a log, one for each key."""
+    return log.read(spark, path, schema, key)
+
+
+def read_log_without_id(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Its rows without a key, each of them once."""
+    wide = T.StructType([*schema.fields, T.StructField("row_hash", T.StringType())])
+    return log.read(spark, path.rstrip("/") + NO_KEY, wide, "row_hash").select(*schema.names)
 
 
 def read_comment_log(spark: SparkSession, path: str) -> DataFrame:

@@ -10,6 +10,7 @@ from quipyard.functions.votes import percent_text
 from quipyard.operators import batching, filters, scores
 from quipyard.plans import generation, review
 from quipyard.session import store
+from quipyard.sources.tables import read_comment_log
 from quipyard.streaming.review_log import read_generated_stream, start_review_log
 
 # Executors cannot import test modules.
@@ -163,7 +164,7 @@ def test_streamed_log_is_idempotent(spark, tmp_path):
         start_review_log(stream, log, rejected, str(tmp_path / checkpoint), available_now=True).awaitTermination()
 
     def held(path):
-        return sorted(r.comment_id for r in spark.read.json(path).collect())
+        return sorted(r.comment_id for r in read_comment_log(spark, path).collect())
 
     write_events(source, "a.json", [*GENERATIONS.items(), ("good", "a decent comment of five words")])
     run("one")
