@@ -1,26 +1,33 @@
 """Exact positions in a global order without a global sort.
 
-A rank limit becomes a key limit: counting keys in ever finer buckets closes in on
-the key that holds a wanted rank. Every pass reads one column, aggregates before
-the shuffle and returns at most FANOUT counts per wanted rank to the driver, fewer
-where many ranks are wanted; once no more keys than that are left for a rank, one
-last pass fetches those. The
-result is then a comparison or a search per row: no shuffle, no single-task window.
+A rank limit becomes a key limit. The keys are stored once. A first reading makes a mergeable quantile
+sketch, which bounds each wanted key from both sides; a second counts exactly what lies below those
+bounds and in FANOUT buckets between them; a third fetches the keys of the buckets that hold the wanted
+ranks. A bucket that still holds too many keys is counted in finer ones first, and a bound that proves
+wrong gives way to the whole range, so the sketch decides about speed only. Every reading aggregates
+before the shuffle, and MOST_COUNTS bounds what comes to the driver. The result is then a comparison
+or a search per row: no shuffle, no single-task window.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipyard.session import store
+from quipyard.session import discard, store
 
-FANOUT = 4096
+FANOUT = 1 << 16
 #: Counts or keys that one pass brings to the driver, for all ranks together.
 MOST_COUNTS = 1 << 20
+#: Size of the sketch, the quantiles read off it, and the error in rank allowed for: 0.2 % is to be expected.
+SKETCH = 4096
+QUANTILES = 1024
+ERROR = 0.004
 
 
 @dataclass(frozen=True)
@@ -42,28 +49,61 @@ class _Span:
         return self.low < self.high and self.rows > self.fan
 
 
-def _whole_keys(df: DataFrame, key: Column) -> DataFrame:
-    return df.select(key.cast("bigint").alias("k")).where("k IS NOT NULL")
-
+@dataclass(frozen=True)
+class StoredKeys:
+    """Whole-number keys of a table, stored, with their number and quantiles; null keys are left out."""
 
-def _whole_span(keys: DataFrame, ranks: int) -> _Span | None:
-    low, high, rows = keys.agg(F.min("k"), F.max("k"), F.count("k")).first()
-    fan = max(2, min(FANOUT, MOST_COUNTS // max(1, ranks)))
-    return _Span(low, high, rows, fan) if rows else None
+    table: DataFrame
+    low: int | None
+    high: int | None
+    rows: int
+    quantiles: list[int]
+
+    @staticmethod
+    def of(df: DataFrame, key: Column) -> StoredKeys:
+        keys = store(df.select(key.cast("bigint").alias("k")).where("k IS NOT NULL"), "keys")
+        sketch = F.kll_sketch_agg_bigint("k", F.lit(SKETCH))
+        shares = F.array(*[F.lit(i / QUANTILES) for i in range(QUANTILES + 1)])
+        quantiles = F.when(F.count("k") > 0, F.kll_sketch_get_quantile_bigint(sketch, shares))
+        return StoredKeys(keys, *keys.agg(F.min("k"), F.max("k"), F.count("k"), quantiles).first())
+
+    def at(self, ranks: Sequence[int]) -> list[int]:
+        """The r-th smallest key for each 1-based rank r."""
+        if not self.rows:
+            raise ValueError("no rows to rank")
+        fan = max(2, min(FANOUT, MOST_COUNTS // max(1, len(ranks))))
+        whole = _Span(self.low, self.high, self.rows, fan)
+        return _find(self.table, whole, ranks, self._bounds(whole, ranks) if whole.is_open else [])
+
+    def _bounds(self, whole: _Span, ranks: Sequence[int]) -> list[_Span]:
+        """Spans that hold the wanted keys unless the sketch is worse than expected; sorted, apart."""
+        spans: list[_Span] = []
+        for rank in sorted(ranks):
+            share = rank / self.rows
+            first, last = math.floor((share - ERROR) * QUANTILES), math.ceil((share + ERROR) * QUANTILES)
+            low = self.quantiles[first] if first > 0 else self.low
+            high = self.quantiles[last] if last < QUANTILES else self.high
+            if spans and low <= spans[-1].high:
+                low, high = spans[-1].low, max(high, spans.pop().high)
+            spans.append(_Span(low, high, 0, whole.fan))
+        return spans
+
+    def discard(self) -> None:
+        """Remove the stored keys."""
+        discard(self.table)
 
 
 def keys_at_ranks(df: DataFrame, key: Column, ranks: Sequence[int]) -> list[int]:
     """The r-th smallest whole-number key for each 1-based rank r."""
-    keys = store(_whole_keys(df, key), "keys")  # the input is evaluated once
-    whole = _whole_span(keys, len(ranks))
-    if whole is None:
-        raise ValueError("no rows to rank")
-    return _find(keys, whole, ranks)
+    keys = StoredKeys.of(df, key)
+    found = keys.at(ranks)
+    keys.discard()
+    return found
 
 
-def _find(keys: DataFrame, whole: _Span, ranks: Sequence[int]) -> list[int]:
+def _find(keys: DataFrame, whole: _Span, ranks: Sequence[int], bounds: Sequence[_Span]) -> list[int]:
     # Per wanted rank: the span that holds it, and its rank within the span.
-    at = [(whole, r) for r in ranks]
+    at = _start(keys, whole, ranks, bounds) if bounds else [(whole, r) for r in ranks]
     while any(span.is_open for span, _ in at):
         counts = _bucket_counts(keys, {span for span, _ in at if span.is_open})
         at = [_narrow(span, left, counts[span]) if span.is_open else (span, left) for span, left in at]
@@ -71,14 +111,49 @@ def _find(keys: DataFrame, whole: _Span, ranks: Sequence[int]) -> list[int]:
     return [span.low if span.low == span.high else few[span][left - 1] for span, left in at]
 
 
-def _in_spans(keys: DataFrame, spans: Sequence[_Span], buckets: bool) -> DataFrame:
-    """(s, v) for keys in span number s, v the bucket or the key; sorted spans that do not overlap."""
+def _start(keys: DataFrame, whole: _Span, ranks: Sequence[int], bounds: Sequence[_Span]) -> list[tuple[_Span, int]]:
+    """The bucket of each rank inside the bounds, or the whole range where it lies outside."""
+    counts, below = _counts_with_gaps(keys, bounds)
+    at = []
+    for rank in ranks:
+        i = max((i for i, b in enumerate(below) if b < rank), default=0)
+        left = rank - below[i]
+        inside = 1 <= left <= sum(counts[i].values())
+        at.append(_narrow(bounds[i], left, counts[i]) if inside else (whole, rank))
+    return at
+
+
+def _counts_with_gaps(keys: DataFrame, spans: Sequence[_Span]) -> tuple[list[dict[int, int]], list[int]]:
+    """Keys per bucket of each span, and how many keys are below each span."""
+    spans = list(spans)
+    found = _in_spans(keys, spans, True, gaps=True).groupBy("s", "v").count().collect()
+    counts: list[dict[int, int]] = [{} for _ in spans]
+    gaps = [0] * (len(spans) + 1)
+    for i, bucket, n in found:
+        if bucket < 0:
+            gaps[i + 1] += n
+        else:
+            counts[i][bucket] = n
+    below, before = [], 0
+    for i, inside in enumerate(counts):
+        before += gaps[i]
+        below.append(before)
+        before += sum(inside.values())
+    return counts, below
+
+
+def _in_spans(keys: DataFrame, spans: Sequence[_Span], buckets: bool, gaps: bool = False) -> DataFrame:
+    """(s, v) for keys in span number s, v the bucket or the key; sorted spans that do not overlap.
+
+    With `gaps` also the other keys, v = -1 and s the span before them or -1.
+    """
     lows, highs, widths = (_longs([getattr(s, name) for s in spans]) for name in ("low", "high", "width"))
     at = (places_below(F.col("k") + 1, [s.low for s in spans]) - 1).alias("s")
-    found = keys.select("k", at).where((F.col("s") >= 0) & (F.col("k") <= F.get(highs, F.col("s"))))
+    is_in = (F.col("s") >= 0) & (F.col("k") <= F.get(highs, F.col("s")))
+    found = keys.select("k", at) if gaps else keys.select("k", at).where(is_in)
     inside = (F.col("k") - F.get(lows, F.col("s")), F.get(widths, F.col("s")))
     value = F.floor((inside[0] - inside[0] % inside[1]) / inside[1]) if buckets else F.col("k")
-    return found.select("s", value.alias("v"))
+    return found.select("s", (F.when(is_in, value).otherwise(F.lit(-1)) if gaps else value).alias("v"))
 
 
 def _longs(values: Sequence[int]) -> Column:
@@ -122,12 +197,12 @@ def chunk_sizes(rows: int, chunks: int) -> list[int]:
 
 def assign_chunks(df: DataFrame, position: str, chunks: int = 8) -> DataFrame:
     """Contiguous near-equal chunks by a unique whole-number position, numbered from 1."""
-    keys = store(_whole_keys(df, F.col(position)), "keys")
-    whole = _whole_span(keys, chunks)
-    if whole is None:
+    keys = StoredKeys.of(df, F.col(position))
+    if not keys.rows:
         return df.withColumn("chunk", F.lit(None).cast("int"))
-    sizes = [n for n in chunk_sizes(whole.rows, chunks) if n]
-    cuts = _find(keys, whole, [sum(sizes[: i + 1]) for i in range(len(sizes) - 1)])
+    sizes = [n for n in chunk_sizes(keys.rows, chunks) if n]
+    cuts = keys.at(list(accumulate(sizes[:-1])))
+    keys.discard()
     # chunks in front of the position's own, by binary search in the sorted cut points
     before = places_below(F.col(position).cast("bigint"), cuts)
     return df.withColumn("chunk", F.when(F.col(position).isNotNull(), before + 1).cast("int"))

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipyard.functions.hashing import hash32, hash60
-from quipyard.operators.ranks import keys_at_ranks
-from quipyard.session import store
+from quipyard.operators.ranks import StoredKeys
 
 # Share and seed of the held-out part.
 TEST_SHARE = 0.1
@@ -38,16 +37,17 @@ def with_split(
 
     By default the hash bucket of the key decides, row by row. With `exact`, the
     test part has ceil(share * rows) rows: those with the lowest hashes. This
-    needs unique non-null keys and counts the keys first.
+    needs unique non-null keys, which are stored and ranked first.
     """
     column = F.col(key)
     if not exact:
         in_test = in_test_bucket(column, share, seed)
     else:
         hashed = hash60(column, seed)
-        keys = store(df.select(hashed.alias("hash")), "split-keys")
-        size = math.ceil(share * keys.count())
-        in_test = hashed <= keys_at_ranks(keys, F.col("hash"), [size])[0] if size else F.lit(False)
+        keys = StoredKeys.of(df, hashed)
+        size = math.ceil(share * keys.rows)
+        in_test = hashed <= keys.at([size])[0] if size else F.lit(False)
+        keys.discard()
     return df.withColumn("split", F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
 
 

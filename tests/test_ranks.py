@@ -22,6 +22,26 @@ def test_keys_at_ranks_over_many_passes(spark, monkeypatch):
         ranks.keys_at_ranks(df, F.col("k"), [401])
 
 
+def test_at_most_three_readings(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "FANOUT", 64)
+    keys = ranks.StoredKeys.of(spark.range(20_000).select((F.xxhash64("id") % 1_000_003).alias("k")), F.col("k"))
+    readings = []
+    for name in ("_counts_with_gaps", "_bucket_counts", "_fetch"):
+        monkeypatch.setattr(ranks, name, lambda *a, f=getattr(ranks, name), n=name: readings.append(n) or f(*a))
+    wanted = [1, 7000, 20_000]
+    ordered = sorted(r.k for r in keys.table.collect())
+    assert keys.at(wanted) == [ordered[r - 1] for r in wanted]
+    assert readings == ["_counts_with_gaps", "_fetch"]  # besides the one of the sketch
+
+
+def test_wrong_bounds_do_not_matter(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "FANOUT", 8)
+    keys = ranks.StoredKeys.of(spark.range(500).select((F.col("id") * F.col("id")).alias("k")), F.col("k"))
+    for quantiles in ([0] * 1025, [499 * 499] * 1025, [i * 7 for i in range(1025)]):
+        wrong = ranks.StoredKeys(keys.table, keys.low, keys.high, keys.rows, quantiles)
+        assert wrong.at([1, 2, 250, 500]) == [0, 1, 249**2, 499**2]
+
+
 def test_negative_and_single_keys(spark):
     df = spark.createDataFrame([(-(1 << 61),), (-5,), (0,), (9,)], "k BIGINT")
     assert ranks.keys_at_ranks(df, F.col("k"), [1, 2, 3, 4]) == [-(1 << 61), -5, 0, 9]
