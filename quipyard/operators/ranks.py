@@ -1,9 +1,9 @@
 """Exact positions in a global order without a global sort.
 
-A rank limit becomes a key limit. The keys are stored once. A first reading makes a mergeable quantile
-sketch, which bounds each wanted key from both sides; a second counts exactly what lies below those
-bounds and in FANOUT buckets between them; a third fetches the keys of the buckets that hold the wanted
-ranks. A bucket that still holds too many keys is counted in finer ones first, and a bound that proves
+A rank limit becomes a key limit. The keys are stored once, and while they are written a mergeable
+quantile sketch is made, which bounds each wanted key from both sides. A first reading counts exactly
+what lies below those bounds and in FANOUT buckets between them; a second fetches the keys of the buckets
+that hold the wanted ranks. A bucket that still holds too many keys is counted in finer ones first, and a bound that proves
 wrong gives way to the whole range, so the sketch decides about speed only. Every reading aggregates
 before the shuffle, and MOST_COUNTS bounds what comes to the driver. The result is then a comparison
 or a search per row: no shuffle, no single-task window.
@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quipyard.session import discard, store
@@ -61,11 +61,15 @@ class StoredKeys:
 
     @staticmethod
     def of(df: DataFrame, key: Column) -> StoredKeys:
-        keys = store(df.select(key.cast("bigint").alias("k")).where("k IS NOT NULL"), "keys")
+        keys = df.select(key.cast("bigint").alias("k")).where("k IS NOT NULL")
         sketch = F.kll_sketch_agg_bigint("k", F.lit(SKETCH))
         shares = F.array(*[F.lit(i / QUANTILES) for i in range(QUANTILES + 1)])
         quantiles = F.when(F.count("k") > 0, F.kll_sketch_get_quantile_bigint(sketch, shares))
-        return StoredKeys(keys, *keys.agg(F.min("k"), F.max("k"), F.count("k"), quantiles).first())
+        facts = {"low": F.min("k"), "high": F.max("k"), "rows": F.count("k"), "quantiles": quantiles}
+        seen = Observation()
+        # in the tasks that write, each of which counts once
+        table = store(keys.observe(seen, *[fact.alias(name) for name, fact in facts.items()]), "keys")
+        return StoredKeys(table, **{name: seen.get[name] for name in facts})
 
     def at(self, ranks: Sequence[int]) -> list[int]:
         """The r-th smallest key for each 1-based rank r."""
