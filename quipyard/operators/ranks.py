@@ -63,7 +63,7 @@ class StoredKeys:
     def of(df: DataFrame, key: Column) -> StoredKeys:
         keys = df.select(key.cast("bigint").alias("k")).where("k IS NOT NULL")
         sketch = F.kll_sketch_agg_bigint("k", F.lit(SKETCH))
-        shares = F.expr(f"transform(sequence(0, {QUANTILES}), i -> i / {QUANTILES}D)")
+        shares = F.expr("array(" + ",".join(f"{i / QUANTILES}D" for i in range(QUANTILES + 1)) + ")")
         quantiles = F.when(F.count("k") > 0, F.kll_sketch_get_quantile_bigint(sketch, shares))
         facts = {"low": F.min("k"), "high": F.max("k"), "rows": F.count("k"), "quantiles": quantiles}
         seen = Observation()
