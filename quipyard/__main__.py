@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quipyard.operators.batching import few_shot_block
 from quipyard.operators.sampling import SEED, TEST_SHARE, with_split
-from quipyard.plans import candidates, datasets, ingest
+from quipyard.plans import bot_run, candidates, datasets, generation, ingest
 from quipyard.schemas import DPO_DATASET, REVIEW_INPUT, SFT_DATASET
 from quipyard.session import build_session
-from quipyard.sources import tables
+from quipyard.sources import few_shot, tables
 from quipyard.sources.pages import extract_links, read_pages
 from quipyard.streaming.review_log import read_generated_stream, review_batch, start_review_log
 
@@ -32,8 +34,10 @@ def build_dpo_dataset(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def ingest_pages(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Details, comments and errors of captured pages, as CSV."""
-    ingest.write_ingested(ingest.ingest_pages(read_pages(spark, args.pages_path)), args.output_path)
+    """Details, comments and errors of captured pages, as CSV; prints what was counted."""
+    ingested = ingest.ingest_pages(read_pages(spark, args.pages_path))
+    ingest.write_ingested(ingested, args.output_path)
+    print(json.dumps(ingested.counts))
 
 
 def list_urls(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -67,14 +71,57 @@ def prepare_dpo(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def select_candidates(spark: SparkSession, args: argparse.Namespace) -> None:
     """Articles to comment on next, as JSON lines."""
+    comments = tables.read_comments_csv(spark, args.df_comments_path)
+    chosen = candidates.select_candidates(_listed(spark, args), comments, args.username, args.num_comments_desired)
+    tables.write_jsonl(chosen, args.output_path)
+
+
+def _listed(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """Article details in the order of the list pages: by address, then by place on the page."""
     urls = extract_links(read_pages(spark, args.archive_pages_path), pattern=args.pattern)
     details = tables.read_details(spark, args.df_article_details_path)
-    comments = tables.read_comments_csv(spark, args.df_comments_path)
-    # list pages in the order of their addresses, links in the order of the page
     place = F.min(F.struct("page_url", "position")).alias("position")
-    listed = details.join(urls.groupBy("url").agg(place), "url")
-    chosen = candidates.select_candidates(listed, comments, args.username, args.num_comments_desired)
-    tables.write_jsonl(chosen, args.output_path)
+    return details.join(urls.groupBy("url").agg(place), "url")
+
+
+def _generator(name: str):
+    """The function MODULE:NAME, which makes a generator in each task."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+def bot(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Choose articles, generate, review and log, under a run id; the same id again resumes."""
+    comments = tables.read_comments_csv(spark, args.df_comments_path)
+    reviewed = bot_run.run_bot(
+        _listed(spark, args),
+        comments,
+        args.username,
+        _generator(args.generator),
+        args.output_path,
+        args.run_id,
+        args.log_path,
+        n=args.num_comments_desired,
+    )
+    good = F.size("reasons") == 0
+    print(json.dumps(reviewed.agg(F.count_if(good).alias("accepted"), F.count_if(~good).alias("rejected")).first().asDict()))
+
+
+def chat_requests(spark: SparkSession, args: argparse.Namespace) -> None:
+    """One chat request per article, with the examples of a few-shot file, as JSON lines."""
+    details = tables.read_details(spark, args.df_article_details_path)
+    examples = few_shot.few_shot_examples(few_shot.read_few_shot_text(spark, args.few_shot_path))
+    tables.write_jsonl(generation.chat_requests(details, examples, args.num_shots, args.model), args.output_path)
+
+
+def compare_generations(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Answers of a chat generator and of a tuned one side by side, as JSON lines."""
+    details = tables.read_details(spark, args.df_article_details_path)
+    text = few_shot.read_few_shot_text(spark, args.few_shot_path)
+    block = few_shot_block(few_shot.few_shot_examples(text), args.num_shots).scalar()
+    requests = generation.comparison_requests(details, block)
+    answered = generation.compare_generations(requests, _generator(args.first_generator), _generator(args.second_generator))
+    tables.write_jsonl(answered, args.output_path)
 
 
 def review(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -126,6 +173,16 @@ def parser() -> argparse.ArgumentParser:
     choose.add_argument("--num_comments_desired", type=int, default=3)
     choose.add_argument("--pattern")
 
+    run = command(bot, "archive_pages_path", *inputs, "username", "run_id", "log_path", "generator")
+    run.add_argument("--num_comments_desired", type=int, default=3)
+    run.add_argument("--pattern")
+
+    chat = command(chat_requests, "df_article_details_path", "few_shot_path", "output_path")
+    chat.add_argument("--model", default="chat-model")
+    both = command(compare_generations, "df_article_details_path", "few_shot_path", "output_path", "first_generator", "second_generator")
+    for sub in (chat, both):
+        sub.add_argument("--num_shots", type=int, default=generation.CHAT_SHOTS)
+
     command(review, "generated_path", "log_path").add_argument("--rejected_path", help="default: LOG_PATH.rejected")
     live = command(review_stream, "generated_path", "log_path", "rejected_path", "checkpoint")
     live.add_argument("--available_now", action="store_true")

@@ -96,6 +96,17 @@ def ingest_comments(t):
     return ingest.ingest_pages(pages(t), LAYOUT).comments
 
 
+@query(f"""
+WITH found AS ({_COMMENTS}), broken AS (SELECT url FROM pages WHERE contains(html, 'lang="fr"'))
+SELECT (SELECT count(*) FROM pages) AS pages, (SELECT count(*) FROM broken) AS failed_pages,
+       (SELECT count(*) FROM found WHERE url NOT IN (SELECT url FROM broken)) AS comments,
+       0::BIGINT AS comments_without_text, 0::BIGINT AS comments_without_user""")
+def ingest_counts(t):
+    """What the parsing pass counts; pages in one language have lost their content."""
+    broken = pages(t).withColumn("html", F.expr("""CASE WHEN NOT contains(html, 'lang="fr"') THEN html END"""))
+    return t.spark.createDataFrame([ingest.ingest_pages(broken, LAYOUT).counts], ", ".join(f"{n} BIGINT" for n in ingest.COUNTS))
+
+
 @query("""SELECT url, 'TypeError' AS error FROM pages WHERE contains(html, 'lang="fr"')""")
 def extract_errors(t):
     """Pages in one language have lost their content."""

@@ -23,7 +23,10 @@ from quipyard.catalog.adapters import (
 from quipyard.catalog.registry import Tables, query
 from quipyard.functions import prompts, text
 from quipyard.operators import batching, columns, filters, joins, packing, ranks, sampling, scores
-from quipyard.plans import candidates, generation, review
+from quipyard.plans import bot_run, candidates, generation, resumable, review
+from quipyard.session import scratch_path
+from quipyard.sources import tables
+from quipyard.streaming.review_log import REJECTED_LOG
 
 _TITLE_TEXT = "title || ' ' || article_text"
 
@@ -359,6 +362,42 @@ def generate_batch(t):
     return generation.generate(generation.generation_requests(articles(t)), _answer_with_length)
 
 
+@query(sql(f"SELECT url, prompt, {_LENGTH_ANSWER} AS comment FROM generated", _GENERATED))
+def generate_resumed(t):
+    """A first run answers the requests for some articles, a second one goes on with all."""
+    requests, path = generation.generation_requests(articles(t)), scratch_path(t.spark, "answers")
+    some = requests.where(F.xxhash64("url") % 2 == 0)
+    for part in (some, requests):
+        found = resumable.generate_resumable(part, _answer_with_length, path)
+    return found.answered.select("url", "prompt", "comment")
+
+
+def _answer_of_six_words() -> Callable:
+    def answer(batch, temperature, top_p):
+        return ["too short" if len(p) % 3 == 0 else f"{len(p)} characters are in this prompt" for p in batch]
+
+    return answer
+
+
+@query(sql(f"""
+SELECT url, CASE WHEN length(prompt) % 3 = 0 THEN 'too short' ELSE length(prompt) || ' characters are in this prompt' END AS comment,
+       length(prompt) % 3 <> 0 AS accepted
+FROM (SELECT url, {sql_prompt(sql_word_prefix('title_article_text'))} AS prompt
+      FROM (SELECT page_id, url, {_TITLE_TEXT} AS title_article_text FROM articles
+            WHERE {_UNCOMMENTED} AND NOT contains(url, 'ref=') ORDER BY page_id LIMIT 25))"""))
+def bot_flow(t):
+    """A whole run, called twice: the second call finds everything done."""
+    path = scratch_path(t.spark, "run")
+    for _ in range(2):
+        bot_run.run_bot(
+            articles(t), comments(t), "assistant", _answer_of_six_words, path, "run-1", path + ".log",
+            n=25, position="page_id", excluded=("ref=",),
+        )
+    kept = tables.read_comment_log(t.spark, path + ".log").withColumn("accepted", F.lit(True))
+    rejected = tables.read_log(t.spark, path + ".log.rejected", REJECTED_LOG).withColumn("accepted", F.lit(False))
+    return kept.unionByName(rejected.drop("reasons")).select("url", "comment", "accepted")
+
+
 _SHORT = sql_word_prefix(_TITLE_TEXT)
 
 

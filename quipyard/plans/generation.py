@@ -29,6 +29,11 @@ CHAT_TEMPERATURE, CHAT_TOP_P = 0.7, 0.9
 CHAT_SHOTS = 3
 
 
+def dry_run() -> Generator:
+    """Stands in for a model: the last ten words of each prompt."""
+    return lambda prompts, temperature, top_p: [" ".join(p.split()[-10:]) for p in prompts]
+
+
 def generation_requests(articles: DataFrame, num_words: int = 300, instruction: str = INSTRUCTION) -> DataFrame:
     """(url, prompt) from the first words of title and text."""
     text = word_prefix(title_and_text(F.col("title"), F.col("article_text")), num_words)

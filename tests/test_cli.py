@@ -1,8 +1,11 @@
+import base64
 import json
 
 import pytest
 
 from quipyard.__main__ import main
+from quipyard.sources.tables import read_comment_log, read_log
+from quipyard.streaming.review_log import REJECTED_LOG
 
 PAGE = """<title>T{n}</title><meta name="description" content="d"><div class="blog-section-inside"><p>Text {n}</div>
 <div id="comment_wrap"><div class="ppcont"><div class="comtext">top {n}</div></div>
@@ -62,6 +65,24 @@ def test_pages_to_prepared_sets(spark, table, tmp_path, capsys):
           "--username", "nobody", "--num_comments_desired", "2"])
     assert sorted(r["title_article_text"] for r in read(tmp_path / "next")) == ["T0 Text 0", "T1 Text 1"]
 
+    capsys.readouterr()
+    for _ in range(2):
+        main(["bot", "--archive_pages_path", at("archive"), *inputs, "--output_path", at("runs"), "--username", "nobody",
+              "--run_id", "r1", "--log_path", at("log"), "--generator", "quipyard.plans.generation:dry_run"])
+        printed = json.loads(capsys.readouterr().out)
+        assert sum(printed.values()) == 3
+    assert read_comment_log(spark, at("log")).count() == printed["accepted"]
+
+    shots = "".join(f"### Article Summary: \n\nE{i}: text\n\n### Comment:\n\nha {i}\n\n" for i in range(3))
+    (tmp_path / "shots.txt").write_bytes(base64.b64encode(shots.encode()))
+    files = [*inputs[2:], "--few_shot_path", at("shots.txt"), "--num_shots", "2"]
+    main(["chat_requests", *files, "--output_path", at("chat")])
+    requests = read(tmp_path / "chat")
+    assert len(requests) == 13 and all("ha 1" in r["prompt"] and "ha 2" not in r["prompt"] for r in requests)
+    both = ["--first_generator", "quipyard.plans.generation:dry_run", "--second_generator", "quipyard.plans.generation:dry_run"]
+    main(["compare_generations", *files, *both, "--output_path", at("both")])
+    assert all(r["first_comment"] and r["second_comment"] for r in read(tmp_path / "both"))
+
 
 def test_review_commands(spark, table, tmp_path):
     at = lambda name: str(tmp_path / name)
@@ -69,11 +90,11 @@ def test_review_commands(spark, table, tmp_path):
     table("comment_id STRING, url STRING, comment STRING, datetime TIMESTAMP", *rows).write.json(at("generated"))
     for _ in range(2):
         main(["review", "--generated_path", at("generated"), "--log_path", at("log")])
-    assert [r["comment_id"] for r in read(tmp_path / "log")] == ["1"]
+    assert [r.comment_id for r in read_comment_log(spark, at("log")).collect()] == ["1"]
     main(["review_stream", "--generated_path", at("generated"), "--log_path", at("log"),
           "--rejected_path", at("rejected"), "--checkpoint", at("checkpoint"), "--available_now"])
-    assert [r["comment_id"] for r in read(tmp_path / "log")] == ["1"]
-    assert [r["reasons"] for r in read(tmp_path / "rejected")] == [["too short"]]
+    assert [r.comment_id for r in read_comment_log(spark, at("log")).collect()] == ["1"]
+    assert [r.reasons for r in read_log(spark, at("rejected"), REJECTED_LOG).collect()] == [["too short"]]
 
 
 def test_unknown_command():

@@ -157,6 +157,11 @@ def test_ingest_and_write(spark, captured, tmp_path):
     votes = [(r.comment_id, r.pcu_value, r.pcd_value) for r in comments]
     assert votes == [("c1", 12, 3), ("c2", None, None), ("c3", 5, None)]
     assert spark.read.csv(f"{tmp_path}/page_errors.csv", header=True).count() == 1
+    assert ingested.counts["pages"] == 3 and ingested.counts["failed_pages"] == 1
+    one = P.incomplete_comments(ingested.comments).first()
+    assert (ingested.counts["comments_without_text"], ingested.counts["comments_without_user"]) == tuple(one)
+    assert ingested.counts["comments"] == ingested.comments.count()
+    assert set(ingest_pages(df.limit(0)).counts.values()) == {0}
 
 
 def test_html_is_read_once_and_goes_no_further(captured):
