@@ -4,8 +4,9 @@ All texts form one stream, ordered by a hash of their key, each followed by a
 separator token; the stream is cut every `length` tokens and the short rest at
 the end is dropped. Tokens are words between whitespace.
 
-The hash range is divided into buckets. Token totals per bucket (a pre-aggregated
-table of `buckets` rows) give each bucket its place in the stream, a window
+The hash range is divided into buckets. A first reading of the texts sums up tokens and
+bytes in CELLS equal parts of the range, from which follow the number of buckets and
+their totals. The totals give each bucket its place in the stream, a window
 inside the bucket gives each text its place, and the text is sliced once per block
 it touches. Order and cuts do not depend on the number of buckets.
 
@@ -28,6 +29,8 @@ from quipyard.session import store
 BROADCAST_BUCKETS = 100_000
 #: Bytes of text in a bucket, about.
 BUCKET_BYTES = 32 << 20
+#: Parts of the hash range that are summed up before the number of buckets is known.
+CELLS = 1 << 20
 
 
 def pack_sequences(
@@ -41,21 +44,25 @@ def pack_sequences(
 ) -> DataFrame:
     """Rows (block_id, tokens) with exactly `length` tokens each; keys are unique.
 
-    Texts without a key are placed by a hash of the text. Without `buckets` the bytes of
-    all texts are summed up first.
+    Texts without a key are placed by a hash of the text. Without `buckets` their number, a
+    power of two, follows from the bytes of all texts.
     """
     texts = df.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
-    if buckets is None:
-        size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        buckets = max(-(-size // BUCKET_BYTES), df.sparkSession.sparkContext.defaultParallelism)
     place = F.coalesce(hash32(F.col("key"), seed), hash32(F.col("text"), seed))
-    bucket = F.floor(place * F.lit(buckets) / F.lit(float(1 << 32))).cast("int")
     tokens = F.array_append(words(F.col("text")), F.lit(separator))
-    rows = texts.select(
-        bucket.alias("bucket"), place.alias("place"), "key", "text", F.size(tokens).cast("bigint").alias("n")
-    )
-
-    starts = _bucket_starts(rows)
+    placed = texts.select(place.alias("place"), "key", "text", F.size(tokens).cast("bigint").alias("n"))
+    if buckets is None:
+        cells = store(_totals(placed, CELLS), "cells")
+        size = cells.agg(F.sum("bytes")).first()[0] or 0
+        wanted = max(-(-size // BUCKET_BYTES), df.sparkSession.sparkContext.defaultParallelism)
+        buckets = min(CELLS, 1 << (wanted - 1).bit_length())
+        per_bucket = F.floor(F.col("bucket") / (CELLS // buckets)).cast("int")
+        totals = cells.groupBy(per_bucket.alias("bucket")).agg(F.sum("total").alias("total"))
+    else:
+        totals = _totals(placed, buckets)
+    rows = placed.withColumn("bucket", _part(F.col("place"), buckets))
+
+    starts = _bucket_starts(totals)
     # Equal keys should not occur; the text keeps their order the same in every run.
     in_bucket = W.partitionBy("bucket").orderBy("place", "key", "text")
     before = F.sum("n").over(in_bucket.rowsBetween(W.unboundedPreceding, -1))
@@ -76,9 +83,19 @@ def pack_sequences(
     return inner.union(edge.where(F.size("tokens") == length))
 
 
-def _bucket_starts(sizes: DataFrame) -> DataFrame:
+def _part(place: Column, parts: int) -> Column:
+    """Number of the equal part of the hash range that holds a place."""
+    return F.floor(place * F.lit(parts) / F.lit(float(1 << 32))).cast("int")
+
+
+def _totals(placed: DataFrame, parts: int) -> DataFrame:
+    """(bucket, total, bytes) of every part of the hash range that holds a text."""
+    size = F.sum(F.octet_length("text")).alias("bytes")
+    return placed.groupBy(_part(F.col("place"), parts).alias("bucket")).agg(F.sum("n").alias("total"), size)
+
+
+def _bucket_starts(totals: DataFrame) -> DataFrame:
     """(bucket, first, last): the half-open range of stream positions of each bucket."""
-    totals = sizes.groupBy("bucket").agg(F.sum("n").alias("total"))
     upto = F.sum("total").over(W.orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow))
     return totals.select("bucket", (upto - F.col("total")).alias("first"), upto.alias("last"))
 
