@@ -17,7 +17,7 @@ again to be joined. Buckets grow in number with the texts, not in size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -52,8 +52,9 @@ def pack_sequences(
     tokens = F.array_append(words(F.col("text")), F.lit(separator))
     placed = texts.select(place.alias("place"), "key", "text", F.size(tokens).cast("bigint").alias("n"))
     if buckets is None:
-        cells = store(_totals(placed, CELLS), "cells")
-        size = cells.agg(F.sum("bytes")).first()[0] or 0
+        seen = Observation()
+        cells = store(_totals(placed, CELLS).observe(seen, F.sum("bytes").alias("bytes")), "cells")
+        size = seen.get["bytes"] or 0
         wanted = max(-(-size // BUCKET_BYTES), df.sparkSession.sparkContext.defaultParallelism)
         buckets = min(CELLS, 1 << (wanted - 1).bit_length())
         per_bucket = F.floor(F.col("bucket") / (CELLS // buckets)).cast("int")
