@@ -12,6 +12,10 @@ The benchmark is the stated query set. It goes to the executors in blocks of bou
 which is compared with all documents in one narrow pass, so neither side is shuffled and no document
 leaves its task. One block holds BLOCK_TOKENS tokens; a larger benchmark takes more passes.
 
+Texts that repeat themselves may have a match for every pair of places. An item with more than MOST_PAIRS
+pairs of equal seeds is tiled without listing them, with the same tiles, in time and memory that grow
+with the lengths of the two texts.
+
 Null or blank texts and items match nothing. Repeated documents give a row each, as do repeated
 items. Empty tables give an empty result.
 """
@@ -35,6 +39,8 @@ SEED = 5
 COVERAGE = 0.6
 #: Tokens of benchmark items in one block: some tens of megabytes on an executor.
 BLOCK_TOKENS = 1_000_000
+#: Pairs of equal seeds of a document and an item up to which all matches are listed.
+MOST_PAIRS = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE = bytes.maketrans(
     (string.ascii_uppercase + string.punctuation).encode(),
@@ -59,20 +65,27 @@ def rolling(codes: np.ndarray, length: int) -> np.ndarray:
     return found
 
 
-def tile(doc: np.ndarray, item: np.ndarray, seeds: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
-    """Tiles (place in the document, place in the item, length) from the places of shared seeds.
+def merge_seeds(doc: np.ndarray, item: np.ndarray, d: np.ndarray, i: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """Maximal matches (place in the document, place in the item, length) from the places of shared seeds."""
+    for k in range(least):  # two runs of one hash
+        same = doc[d + k] == item[i + k]
+        d, i = d[same], i[same]
+    order = np.lexsort((d, d - i))
+    d, i = d[order], i[order]
+    if not len(d):
+        return []
+    new = np.ones(len(d), bool)
+    new[1:] = (np.diff(d - i) != 0) | (np.diff(d) != 1)
+    starts = np.flatnonzero(new)
+    lengths = np.diff(np.append(starts, len(d))) + least - 1
+    return list(zip(d[starts].tolist(), i[starts].tolist(), lengths.tolist()))
+
+
+def tile(doc: np.ndarray, item: np.ndarray, runs: list[tuple[int, int, int]], least: int) -> list[tuple[int, int, int]]:
+    """Tiles (place in the document, place in the item, length) from all maximal matches.
 
-    Every match of `least` or more tokens holds a seed, so the seeds of one diagonal give the maximal
-    matches; a match that has lost tokens to longer ones goes back with what is left of it.
+    A match that has lost tokens to longer ones goes back with what is left of it.
     """
-    runs: list[tuple[int, int, int]] = []
-    for d, i in sorted(seeds, key=lambda s: (s[0] - s[1], s[0])):
-        if not (doc[d : d + least] == item[i : i + least]).all():
-            continue  # two runs of one hash
-        if runs and runs[-1][0] - runs[-1][1] == d - i and d <= runs[-1][0] + runs[-1][2]:
-            runs[-1] = (*runs[-1][:2], d - runs[-1][0] + least)
-        else:
-            runs.append((d, i, least))
     heap = [(-n, i, d) for d, i, n in runs]
     heapq.heapify(heap)
     in_doc, in_item, found = np.zeros(len(doc), bool), np.zeros(len(item), bool), []
@@ -91,6 +104,83 @@ def tile(doc: np.ndarray, item: np.ndarray, seeds: list[tuple[int, int]], least:
     return sorted(found)
 
 
+class _Side:
+    """One of two texts that are tiled: hashes of its runs of any length, and what is marked."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes, self.marked = codes, np.zeros(len(codes) + 1, bool)
+        base, inverse = int(_BASE), pow(int(_BASE), -1, 1 << 64)
+        powers = np.full(len(codes) + 1, np.uint64(base))
+        back = np.full(len(codes) + 1, np.uint64(inverse))
+        powers[0] = back[0] = 1
+        powers, self.back = np.cumprod(powers), np.cumprod(back)
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes * powers[:-1])))
+
+    def open(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the runs of one length without a marked token."""
+        n = len(self.codes) - length + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        marks = np.concatenate(([0], np.cumsum(self.marked[:-1])))
+        at = np.flatnonzero(marks[length:] == marks[:n])
+        return at, (self.sums[at + length] - self.sums[at]) * self.back[at]
+
+
+def tile_by_length(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """The tiles of `tile` without listing the matches, for texts that repeat themselves.
+
+    The greatest length at which open runs of both sides have a hash in common is searched for; the runs
+    of that length are marked, in order of the item's places, each with the first open one of the
+    document, until there is none; then the next length is. Time grows with the lengths of the texts and
+    the number of different tile lengths, memory with the lengths only.
+    """
+    sides, found = (_Side(doc), _Side(item)), []
+
+    def common(length: int) -> bool:
+        (_, a), (_, b) = (side.open(length) for side in sides)
+        return bool(np.isin(b, a).any())
+
+    longest = min(len(doc), len(item))
+    while longest >= least:
+        low, high = least - 1, longest
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if common(middle) else (low, middle - 1)
+        if low < least:
+            break
+        found += _mark_runs(*sides, low)
+        longest = low - 1
+    return sorted(found)
+
+
+def _mark_runs(doc: _Side, item: _Side, length: int) -> list[tuple[int, int, int]]:
+    (at, hashes), (wanted, keys) = doc.open(length), item.open(length)
+    some = np.isin(hashes, keys)
+    at, hashes = at[some], hashes[some]
+    order = np.argsort(hashes, kind="stable")
+    at, hashes = at[order], hashes[order]
+    first, last = np.searchsorted(hashes, keys, "left").tolist(), np.searchsorted(hashes, keys, "right").tolist()
+    begun: dict[int, int] = {}  # where the open places of a hash begin; those before are marked
+    found, free = [], 0
+    for i, a, b in zip(wanted.tolist(), first, last):
+        if i < free:
+            continue
+        k = begun.get(a, a)
+        # no shorter stretch is marked at this length, so the ends tell
+        while k < b and (doc.marked[at[k]] or doc.marked[at[k] + length - 1]):
+            k += 1
+        begun[a] = k
+        for d in at[k:b]:
+            if doc.marked[d] or doc.marked[d + length - 1]:
+                continue
+            if (doc.codes[d : d + length] == item.codes[i : i + length]).all():
+                doc.marked[d : d + length] = item.marked[i : i + length] = True
+                found.append((int(d), i, length))
+                free = i + length
+                break
+    return found
+
+
 class Block:
     """Items of one block by the hashes of their seeds."""
 
@@ -126,14 +216,29 @@ class Block:
         low = np.searchsorted(self.hashes, hashes[maybe], "left")
         high = np.searchsorted(self.hashes, hashes[maybe], "right")
         hit = high > low
-        pairs: dict[int, list[tuple[int, int]]] = {}
-        for d, a, b in zip(maybe[hit].tolist(), low[hit].tolist(), high[hit].tolist()):
-            for k in range(a, b):
-                pairs.setdefault(int(self.owners[k]), []).append((d, int(self.places[k])))
-        for k, seeds in pairs.items():
-            item = self.items[k][1]
-            tiles = tile(codes, item, seeds, self.seed)
-            yield k, sum(n for _, _, n in tiles) / len(item), tiles
+        if not hit.any():
+            return
+        low, which, times = np.unique(low[hit], return_inverse=True, return_counts=True)
+        sizes = np.searchsorted(self.hashes, self.hashes[low], "right") - low
+        # the items' places with each of the hashes, and how many pairs of places every item has
+        entries = np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        pairs = np.bincount(self.owners[entries], np.repeat(times, sizes), len(self.items))
+        tiled = {k: tile_by_length(codes, self.items[k][1], self.seed) for k in np.flatnonzero(pairs > MOST_PAIRS).tolist()}
+        entries = np.split(entries, np.cumsum(sizes)[:-1])
+        entries = [e[pairs[self.owners[e]] <= MOST_PAIRS] for e in entries]
+        sizes = np.array([len(e) for e in entries])
+        d = np.repeat(maybe[hit], sizes[which])
+        e = np.concatenate([entries[k] for k in which.tolist()])
+        order = np.argsort(self.owners[e], kind="stable")
+        d, e = d[order], e[order]
+        cuts = np.flatnonzero(np.diff(self.owners[e])) + 1
+        for d_of, e_of in zip(np.split(d, cuts), np.split(e, cuts)):
+            if len(e_of):
+                k = int(self.owners[e_of[0]])
+                runs = merge_seeds(codes, self.items[k][1], d_of, self.places[e_of], self.seed)
+                tiled[k] = tile(codes, self.items[k][1], runs, self.seed)
+        for k in sorted(tiled):
+            yield k, sum(n for _, _, n in tiled[k]) / len(self.items[k][1]), tiled[k]
 
     def _short(self, codes: np.ndarray):
         for k in self.short:

@@ -31,6 +31,25 @@ def test_tiling_equals_its_definition():
             assert all(doc[d : d + n] == item[i : i + n] for d, i, n in tiles)
 
 
+def test_repetitive_texts_have_the_same_tiles(monkeypatch):
+    pick = random.Random(8)
+    for _ in range(200):
+        seed, letters = pick.choice([2, 3, 5]), pick.choice(["a", "ab", "aab", "abcde"])
+        items = [(i, " ".join(pick.choices(letters, k=pick.randint(1, 30)))) for i in range(3)]
+        doc = " ".join(pick.choices(letters, k=pick.randint(0, 70))).encode()
+        found = []
+        for most in (1 << 16, 0):
+            monkeypatch.setattr(decontamination, "MOST_PAIRS", most)
+            found.append(list(decontamination.Block(items, seed).matches(doc)))
+        assert found[0] == found[1]
+
+
+def test_a_million_equal_words():
+    block = decontamination.Block([(1, "a " * 10_000)])
+    [(_, share, tiles)] = block.matches(b"a " * 1_000_000)
+    assert share == 1 and tiles == [(0, 0, 10_000)]
+
+
 def contaminated(table):
     a, b = prose(40), prose(30)
     turned = [*b[20:], *prose(9), *b[:10], *prose(7), *b[10:20]]
