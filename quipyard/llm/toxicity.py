@@ -115,12 +115,17 @@ def _swaps(lists) -> dict[str, str]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING) -> DataFrame:
-    """text and label of at most `most` labelled documents that are not held out."""
+    """text and label of at most `most` labelled documents that are not held out.
+
+    Of several rows with one id the one with the least hash of its text counts.
+    """
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~is_held_out(F.col("doc_id")))
     once = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     some = once.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    # at most `most` ids and labels
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", F.col("toxic").cast("int"))
+    # at most `most` ids and labels, and a row for each
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text"), "text", F.col("toxic").cast("int").alias("toxic"))).alias("row")
+    return rows.groupBy("doc_id").agg(least).select("row.text", "row.toxic")
 
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

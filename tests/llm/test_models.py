@@ -172,3 +172,12 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
     assert sorted(r.doc_id for r in found.collect()) == sorted(want)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.filter("false"), folder).count() == 0
+
+
+def test_training_rows_are_bounded_by_id(table):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    docs = table("doc_id BIGINT, text STRING", *[(ids[0], f"text {n}") for n in range(500)], *[(i, "t") for i in ids[1:]], (None, "x"))
+    labels = table("doc_id BIGINT, toxic INT", *[(i, i % 2) for i in ids])
+    for most in (2, 1000):
+        rows = toxicity.training_rows(docs, labels, most).collect()
+        assert len(rows) == min(most, len(ids))
