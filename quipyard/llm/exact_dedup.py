@@ -6,7 +6,7 @@ the first row of the stored digests. A null text counts as empty. Repeated rows
 own: one of them stays. An empty table gives an empty result; other columns are never looked at.
 
 A Misra-Gries summary finds every digest that holds more than a small share of the rows. Their
-exact winners, a few hundred rows at most whatever the input, are broadcast, so that rows of a hot
+exact winners, HOT_DIGESTS rows at most whatever the input, are broadcast, so that rows of a hot
 digest are settled where they are read. The remaining digests are small groups and are shuffled.
 """
 
@@ -22,7 +22,7 @@ WHITESPACE = " \t\n\v\f\r"
 #: Counters of the summary; a digest with more than about 1 / TRACKED of all rows is always found.
 TRACKED = 4096
 #: Most digests that are settled on the map side; bounds what is broadcast.
-HOT_DIGESTS = 256
+HOT_DIGESTS = 4096
 
 
 def without_whitespace(text: Column) -> Column:

@@ -99,3 +99,12 @@ def test_empty_tables(table):
     docs = frame(table, [])
     assert exact_dedup.mark_duplicates(docs).count() == exact_dedup.drop_duplicates(docs).count() == 0
     assert simhash.near_duplicates(docs).count() == simhash.keep_one_of_each(docs).count() == 0
+
+
+def test_many_equally_hot_digests_are_found(spark):
+    digests = spark.range(300 * 20).selectExpr(
+        "sha2(string(id % 300), 256) AS text_sha256", "1 AS length", "id AS doc_id", "id AS row"
+    )
+    found = exact_dedup.hot_digests(digests).collect()
+    assert len(found) == 300 and {r.group_size for r in found} == {20}
+    assert sorted(r.best.doc_id for r in found) == list(range(300))
