@@ -81,49 +81,62 @@ def tree_by_definition(docs):
     c = Counter(x for w in training for x in w)
     total, distinct = sum(c.values()), len(c)
     root = lambda w: (c[w] + 1) / (total + distinct + 1)
-    follow = {1: Counter(), 2: Counter()}
-    for w in training:
-        follow[1].update(((x,), y) for x, y in zip(w, w[1:]))
-        follow[2].update(((x, y), z) for x, y, z in zip(w, w[1:], w[2:]))
     frequent = {w for w in c if c[w] >= max(1, lm.FREQUENT * total)}
-    letters = {w for w in c if c[w] >= lm.CONTEXT * total}
-    sizes = {(w,): c[w] for w in letters}
-    sizes |= {(a[0], b): n for (a, b), n in follow[1].items() if n >= lm.CONTEXT * total and n >= lm.JOINT * total and a[0] in letters and b in letters}
-    entries = {s: {} for s in sizes}
-    for length in (1, 2):
-        for (s, w), n in follow[length].items():
-            if s in entries and w in frequent and n >= max(1, lm.JOINT * total):
+    least, joint = max(lm.SEEN, lm.CONTEXT * total), max(1, lm.JOINT * total)
+    letters = {w for w in c if c[w] >= least}
+    sizes, entries, levels = {(w,): c[w] for w in letters}, {}, []
+
+    def gain(s):
+        below = lambda w: entries[s[1:]][w] / sizes[s[1:]] if s[1:] else root(w)
+        return sum(n / sizes[s] * math.log(n / sizes[s] / below(w)) for w, n in entries[s].items())
+
+    level = set(sizes)
+    while level:
+        length = len(next(iter(level)))
+        follow = Counter()
+        for w in training:
+            follow.update((tuple(w[k : k + length]), w[k + length]) for k in range(len(w) - length))
+        entries |= {s: {} for s in level}
+        for (s, w), n in follow.items():
+            if s in level and w in frequent and n >= joint:
                 entries[s][w] = n
-
-    def behind(s, w, nodes):
+        good = {s for s in level if gain(s) >= lm.DIVERGENCE}
+        if length > 2 and not good:
+            break
+        levels.append(good)
+        longer = {(*s, w): n for s in level for w, n in entries[s].items() if n >= least and w in letters}
+        sizes |= longer
+        level = set(longer)
+    nodes = {s[k:] for good in levels for s in good for k in range(len(s))}
+
+    def behind(s, w):
         if not s:
             return root(w)
         if s not in nodes:
-            return behind(s[1:], w, nodes)
+            return behind(s[1:], w)
         own = {x: max(n - lm.DISCOUNT, 0) / sizes[s] for x, n in entries[s].items()}
-        return own.get(w, 0) + (1 - sum(own.values())) * behind(s[1:], w, nodes)
-
-    every = {s for s in sizes if len(s) == 1}
-    gain = lambda s, nodes: sum(n / sizes[s] * math.log(n / sizes[s] / behind(s[1:], w, nodes)) for w, n in entries[s].items())
-    nodes = {s for s in sizes if len(s) == 2 and gain(s, every) >= lm.DIVERGENCE}
-    nodes |= {s for s in every if gain(s, every) >= lm.DIVERGENCE or any(t[1:] == s for t in nodes)}
-    scores = []
-    for w in tokens:
-        scores.append(sum(math.log10(behind(tuple(w[max(0, k - 2) : k]) if w[max(0, k - 2) : k] else (), x, nodes)) for k, x in enumerate(w)))
+        return own.get(w, 0) + (1 - sum(own.values())) * behind(s[1:], w)
+
+    longest = len(levels)
+    scores = [sum(math.log10(behind(tuple(w[max(0, k - longest) : k]), x)) for k, x in enumerate(w)) for w in tokens]
     base = [sum(math.log10(root(x)) for x in w) for w in tokens]
-    return total, tokens, [sum(c[x] > 0 for x in w) for w in tokens], base, scores
+    return total, tokens, [sum(c[x] > 0 for x in w) for w in tokens], base, scores, max(map(len, nodes))
 
 
-@pytest.mark.parametrize("shares", [(5e-7, 1e-5, 1e-6), (0.004, 0.01, 0.002)])
+@pytest.mark.parametrize("shares", [(5e-7, 1e-5, 1e-6, 3), (0.004, 0.01, 0.002, 1), (0.0, 0.001, 0.0, 5)])
 def test_tree_equals_its_definition(table, monkeypatch, shares):
-    for name, share in zip(("FREQUENT", "CONTEXT", "JOINT"), shares):
+    for name, share in zip(("FREQUENT", "CONTEXT", "JOINT", "SEEN"), shares):
         monkeypatch.setattr(suffix_tree_lm, name, share)
     pick = random.Random(3)
     words = ["the", "of", "é", "Ab", "q,"] + [f"w{i}" for i in range(60)]
     docs = [(i, " ".join(pick.choices(words, weights=[30, 20, 10, 8, 5] + [1] * 60, k=pick.randint(0, 80)))) for i in range(120)]
     docs += [(500, "the cat sat"), (500, "the cat sat"), (None, None), (501, " \n"), (502, "of the " * 3000)]
+    # what follows "w1", "w1 w2", ... hangs on the word before it
+    same = ["w1", "w2", "w3", "w4"]
+    docs += [(600 + i, " ".join([a, *same[: 1 + i % 4], b, "w5"])) for i in range(240) for a, b in (("q,", "the"), ("é", "of"))]
     frame = table("doc_id BIGINT, text STRING, score STRING", *[(i, t, "x") for i, t in docs])
-    total, tokens, known, base, scores = tree_by_definition(docs)
+    total, tokens, known, base, scores, longest = tree_by_definition(docs)
+    assert longest >= (5 if shares[1] < 0.01 else 3)
     rows = suffix_tree_lm.score_texts(frame).collect()
     key = lambda r: (str(r[0]), *[round(x, 6) for x in r[1:]])
     found = sorted(key((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score)) for r in rows)
