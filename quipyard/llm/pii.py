@@ -1,18 +1,24 @@
 """Personal data in texts: expressions propose, checksums confirm, words nearby adjust the score.
 
 Everything is Spark SQL. Each kind has a pattern that proposes leftmost spans, a check that drops
-false ones, and a score: a base value, raised by a context word of the kind in the CONTEXT code
-points before the span. Email, ip, card and phone are always kept once their check holds (`base`);
-the further kinds need a score of THRESHOLD or more.
+false ones, and a score: a plain value, raised by a context word of the kind in the CONTEXT code
+points before the span. Email, ip, card and phone are always kept once their check holds (`base`),
+and their context ends at the span of the same kind before them; the further kinds need a score of
+THRESHOLD or more.
 
-| kind | check | score |
+| kind | check | score, with a context word |
 | --- | --- | --- |
-| email, ip, card, phone | labels; parts at most 255; 14 to 19 digits and Luhn; 10 to 15 digits | 1 |
-| iban | 15 to 34 characters and mod-97 | 1 |
-| local_phone | 7 to 15 digits in groups, not inside a base span | 0.3, with a context word 0.8 |
-| id_number | 3-2-4 digits, first group not 000, 666 or 9xx | 0.4, with a context word 0.9 |
-
-A null text counts as empty and has no spans. Positions are code points, the end is exclusive.
+| email | labels | 0.9, 1 |
+| ip | parts at most 255 | 0.6, 0.95 |
+| card | 14 to 19 digits and Luhn | 0.8, 1 |
+| phone | 10 to 15 digits | 0.7, 0.95 |
+| iban | 15 to 34 characters and mod-97, not inside a base span | 0.8, 1 |
+| local_phone | 7 to 15 digits in groups, not inside a base span | 0.3, 0.8 |
+| id_number | 3-2-4 digits, first group not 000, 666 or 9xx, not inside a base span | 0.4, 0.9 |
+
+A null text counts as empty and has no spans. Positions are code points, the end is exclusive. Rows are
+judged alone, so repeated ones have equal spans and an empty table gives an empty result; spans that
+start together stand in the order of the table above.
 Long runs without a match cost one pass: the patterns cannot start again inside a run that they have
 given up, and repeat without backtracking.
 """
@@ -40,6 +46,7 @@ PATTERNS = {
     "local_phone": r"(?<![+A-Za-z0-9.@/(-])(?:\([0-9]{2,5}\)\x20?|[0-9]{2,5}[\x20./-])[0-9]{2,5}(?:[\x20./-][0-9]{2,5}){0,3}(?![A-Za-z0-9@-])",
     "id_number": r"(?<![A-Za-z0-9.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])",
 }
+_PHONE_WORDS = r"(?i)\b(?:phone|telephone|tel|call|mobile|fax|telefon|teléfono|téléphone|whatsapp)\b"
 #: Cheap conditions without which a pattern cannot match.
 HINTS = {
     "email": lambda t: F.contains(t, F.lit("@")),
@@ -47,25 +54,41 @@ HINTS = {
     "card": lambda t: t.rlike(r"[0-9](?:[\x20-]?[0-9]){13}"),
     "phone": lambda t: F.contains(t, F.lit("+")),
     "iban": lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}"),
-    "local_phone": lambda t: t.rlike(r"(?i)\b(?:phone|telephone|tel|call|mobile|fax|telefon|teléfono|téléphone|whatsapp)\b"),
+    "local_phone": lambda t: t.rlike(_PHONE_WORDS),
     "id_number": lambda t: t.rlike(r"[0-9]{3}-[0-9]{2}-[0-9]{4}"),
 }
-SCORES = {"iban": (1.0, 1.0), "local_phone": (0.3, 0.8), "id_number": (0.4, 0.9)}
+#: Without and with a context word.
+SCORES = {
+    "email": (0.9, 1.0),
+    "ip": (0.6, 0.95),
+    "card": (0.8, 1.0),
+    "phone": (0.7, 0.95),
+    "iban": (0.8, 1.0),
+    "local_phone": (0.3, 0.8),
+    "id_number": (0.4, 0.9),
+}
 #: Words that speak for a kind when they stand before a span.
 CONTEXT_WORDS = {
-    "local_phone": r"(?i)\b(?:phone|telephone|tel|call|mobile|fax|telefon|teléfono|téléphone|whatsapp)\b",
+    "email": r"(?i)\b(?:e-?mail|mail|mailto|contact|write|address|correo)\b",
+    "ip": r"(?i)\b(?:ip|ipv4|address|server|host|login|visitor)\b",
+    "card": r"(?i)\b(?:card|credit|debit|visa|mastercard|amex|payment|karte|tarjeta|carte)\b",
+    "phone": _PHONE_WORDS,
+    "local_phone": _PHONE_WORDS,
     "id_number": r"(?i)\b(?:ssn|social security|tax|passport|id|identity)\b",
     "iban": r"(?i)\b(?:iban|account|konto|cuenta|compte)\b",
 }
 
 
-_FOUND = "array<struct<start:int,value:string>>"
+_FOUND = "array<struct<start:int,value:string,before:string>>"
 #: Matches whose places are summed up at once: an array that grows by one is copied each time.
 _BLOCK = 64
 
 
 def _proposed(text: Column, kind: str) -> Column:
-    """Array of (start, value) of the leftmost non-overlapping matches."""
+    """Array of (start, value, before) of the leftmost non-overlapping matches.
+
+    `before` is the end of the text between a match and the one before it.
+    """
     values = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
     # the last gap has no match behind it
     pairs = F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"), values.alias("value"))
@@ -77,16 +100,17 @@ def _placed(pairs: Column) -> Column:
     width = lambda p: F.length(p["gap"]) + F.coalesce(F.length(p["value"]), F.lit(0))
     empty = F.array().cast(_FOUND)
 
+    def found(at: Column, p: Column) -> Column:
+        before = F.substring(p["gap"], -CONTEXT, CONTEXT)
+        return F.struct((at + F.length(p["gap"])).alias("start"), p["value"].alias("value"), before.alias("before"))
+
     def block(at: Column, some: Column) -> Column:
         return F.aggregate(
             some,
             F.struct(at.alias("at"), empty.alias("spans")),
             lambda s, p: F.struct(
                 (s["at"] + width(p)).alias("at"),
-                F.concat(
-                    s["spans"],
-                    F.array(F.struct((s["at"] + F.length(p["gap"])).alias("start"), p["value"].alias("value"))),
-                ).alias("spans"),
+                F.concat(s["spans"], F.array(found(s["at"], p))).alias("spans"),
             ),
         )["spans"]
 
@@ -163,13 +187,13 @@ _SPAN = "array<struct<start:int,end:int,kind:string,score:double,place:int>>"
 def _spans(text: Column, kind: str) -> Column:
     """Confirmed spans of one kind."""
     place = (BASE_KINDS + MORE_KINDS).index(kind)
-    plain, near = SCORES.get(kind, (1.0, 1.0))
+    plain, near = SCORES[kind]
 
     def span(p: Column) -> Column:
-        score = F.lit(plain)
-        if near != plain:
+        before = p["before"]  # base spans can be very many, and a substring of the text is counted from its start
+        if kind in MORE_KINDS:
             before = F.substring(text, F.greatest(p["start"] - CONTEXT, F.lit(0)) + 1, F.least(p["start"], F.lit(CONTEXT)))
-            score = F.when(before.rlike(CONTEXT_WORDS[kind]), near).otherwise(plain)
+        score = F.when(before.rlike(CONTEXT_WORDS[kind]), near).otherwise(plain)
         return F.struct(
             p["start"].alias("start"),
             (p["start"] + F.length(p["value"])).alias("end"),
@@ -217,3 +241,8 @@ def spans_text(spans: Column) -> Column:
 
 def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def scores_text(spans: Column) -> Column:
+    """Score of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: s["score"].cast("string")), ",")

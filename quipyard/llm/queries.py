@@ -77,6 +77,7 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         *[pii.count_kind(F.col("base_spans"), kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS],
         F.sha2(pii.spans_text(F.col("base_spans")), 256).alias("base_sha256"),
         pii.spans_text(F.col("all_spans")).alias("spans"),
+        pii.scores_text(F.col("all_spans")).alias("scores"),
     )
 
 

@@ -73,3 +73,29 @@ def test_checks_and_context(table, text, kinds):
 
 def test_empty_table(table):
     assert spans(table, []) == []
+
+
+@pytest.mark.parametrize(
+    "text, scores",
+    [
+        ("x a@b.c y", "0.9"),
+        ("my E-Mail is a@b.c, also d@e.f", "1.0,0.9"),
+        ("mail " + "x" * 40 + " a@b.c", "0.9"),
+        ("1.2.3.4 then server 5.6.7.8", "0.6,0.95"),
+        ("card: 4417 7442 8035 1547", "1.0"),
+        ("4417 7442 8035 1547", "0.8"),
+        ("call +49 30 123456789 or +49 30 123456780", "0.95,0.7"),
+        ("DE89 3704 0044 0532 0130 00", "0.8"),
+        ("iban DE89 3704 0044 0532 0130 00", "1.0"),
+        ("ssn 123-45-6789", "0.9"),
+        (None, ""),
+    ],
+)
+def test_words_nearby_adjust_scores(table, text, scores):
+    docs = table("doc_id BIGINT, text STRING", (1, text))
+    [row] = pii.find_personal_data(docs).select(pii.scores_text(F.col("all_spans")).alias("s")).collect()
+    assert row.s == scores
+
+
+def test_repeated_rows_have_equal_spans(table):
+    assert spans(table, ["ip 1.2.3.4 a@b.c"] * 3) == [("ip:3:10,email:11:16",) * 2] * 3
