@@ -7,10 +7,12 @@ Parquet table in the shared folder, written by Spark's committer, so a task that
 nothing twice. Its image holds, per bit of an id, the stably sorted bits of all tokens with a rank
 directory; access, rank, select and counting of a token need a step per bit and no decoding.
 
-Image, little-endian: 8 bytes magic, then 32-bit width, 64-bit tokens, documents; per plane the
-number of zeros (64 bits) and the length of its frame (64 bits); then the frames, each a zstd frame
-of the packed bits, most significant plane first. Ranks per 512 bits are rebuilt when a plane is
-opened, as counting is faster than reading them.
+Image, little-endian: 8 bytes magic, 32-bit width, 64-bit numbers of tokens and documents; per plane,
+most significant first, its number of zeros and its bytes (64 bits each); then the planes; then a zstd
+frame of the documents' lengths (64 bits each). A plane holds the ones before each block of 512 bits
+and before its end (32 bits each, not zipped), the ends of its frames (32 bits each), and per 32,768
+bits a zstd frame of the packed bits, or the bits themselves where zipping gains nothing. So rank and
+select read a few words of the directory and open one frame per plane.
 
 A null or blank text has its end id only. A document longer than a shard makes a longer shard. An
 empty table gives no shards.
@@ -22,6 +24,7 @@ import json
 import re
 import struct
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,68 +42,111 @@ from quipyard.session import scratch_path
 #: Tokens after which a shard is closed.
 SHARD_TOKENS = 1 << 20
 END_ID = 1
-MAGIC = b"QYWMAT01"
+MAGIC = b"QYWMAT02"
 _HEAD = "<8sIQQ"
 _HEAD_SIZE = struct.calcsize(_HEAD)
+#: Bits to a rank word, bits to a frame, and frames that stay open.
 _BLOCK = 512
+_GROUP = 1 << 15
+_OPEN = 64
 #: Letters that normalise to one lowercase letter each, and stops that always part from them.
 _LATIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
 
 
 class WaveletMatrix:
-    """Sequence of ids as bit planes."""
+    """Sequence of ids as bit planes in one image; a query opens the frames it touches, no others."""
 
-    def __init__(self, n: int, width: int, zeros: list[int], frames: list[bytes]):
-        self.n, self.width, self.zeros, self.frames = n, width, zeros, frames
-        self._open: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    def __init__(self, image: bytes):
+        self.image = memoryview(image)
+        magic, self.width, self.n, self.documents = struct.unpack_from(_HEAD, image)
+        if magic != MAGIC:
+            raise ValueError("not a token shard")
+        sizes = np.frombuffer(image, "<u8", 2 * self.width, _HEAD_SIZE).reshape(self.width, 2)
+        self.zeros = sizes[:, 0].tolist()
+        self.starts = np.cumsum([_HEAD_SIZE + 16 * self.width, *sizes[:, 1].tolist()]).tolist()
+        self.blocks, self.groups = -(-self.n // _BLOCK), -(-self.n // _GROUP)
+        self._open: dict[tuple[int, int], bytes] = {}
+        self._unzip = zstandard.ZstdDecompressor()
 
     @classmethod
-    def build(cls, ids: np.ndarray) -> WaveletMatrix:
+    def build(cls, ids: np.ndarray, lengths: np.ndarray | None = None) -> WaveletMatrix:
+        """Of the ids of documents of these lengths, or of one document."""
+        lengths = np.array([len(ids)]) if lengths is None else lengths
         width = max(1, int(ids.max(initial=0)).bit_length())
         x = ids.astype(np.uint16 if width <= 16 else np.uint32)
-        press = zstandard.ZstdCompressor(level=1)
-        zeros, frames = [], []
+        zeros, planes = [], []
         for bit in range(width - 1, -1, -1):
             ones = (x >> bit & 1).astype(bool)
-            frames.append(press.compress(np.packbits(ones).tobytes()))
+            planes.append(cls._section(ones))
             low = x.take(np.flatnonzero(~ones))
             zeros.append(len(low))
             x = np.concatenate((low, x.take(np.flatnonzero(ones))))
-        return cls(len(ids), width, zeros, frames)
+        head = struct.pack(_HEAD, MAGIC, width, len(ids), len(lengths))
+        table = b"".join(struct.pack("<QQ", z, len(p)) for z, p in zip(zeros, planes))
+        ends = zstandard.ZstdCompressor(level=1).compress(lengths.astype("<u8").tobytes())
+        return cls(b"".join((head, table, *planes, ends)))
+
+    @staticmethod
+    def _section(ones: np.ndarray) -> bytes:
+        """A plane: ones before each block, ends of the frames, the frames."""
+        packed = np.packbits(ones)
+        words = np.zeros(-(-len(ones) // _BLOCK) * (_BLOCK // 64), "<u8")
+        words.view(np.uint8)[: len(packed)] = packed
+        counts = np.bitwise_count(words).reshape(-1, _BLOCK // 64).sum(axis=1, dtype=np.int64)
+        ranks = np.concatenate(([0], np.cumsum(counts))).astype("<u4")
+        press, data, frames = zstandard.ZstdCompressor(level=1), packed.tobytes(), []
+        for start in range(0, len(data), _GROUP // 8):
+            plain = data[start : start + _GROUP // 8]
+            zipped = press.compress(plain)
+            frames.append(zipped if len(zipped) < len(plain) else plain)
+        ends = np.cumsum([len(f) for f in frames]).astype("<u4")
+        return b"".join((ranks.tobytes(), ends.tobytes(), *frames))
 
     def to_bytes(self) -> bytes:
-        head = struct.pack(_HEAD, MAGIC, self.width, self.n, 0)
-        table = b"".join(struct.pack("<QQ", z, len(f)) for z, f in zip(self.zeros, self.frames))
-        return head + table + b"".join(self.frames)
+        return bytes(self.image)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> WaveletMatrix:
-        magic, width, n, _ = struct.unpack_from(_HEAD, data)
-        if magic != MAGIC:
-            raise ValueError("not a token shard")
-        rows = [struct.unpack_from("<QQ", data, _HEAD_SIZE + 16 * i) for i in range(width)]
-        at, frames = _HEAD_SIZE + 16 * width, []
-        for _, size in rows:
-            frames.append(data[at : at + size])
-            at += size
-        return cls(n, width, [z for z, _ in rows], frames)
+        return cls(data)
+
+    def lengths(self) -> np.ndarray:
+        """Number of ids of each document."""
+        return np.frombuffer(self._unzip.decompress(self.image[self.starts[-1] :]), "<u8").astype(np.int64)
+
+    def _number(self, at: int) -> int:
+        return int.from_bytes(self.image[at : at + 4], "little")
+
+    def _before(self, plane: int, block: int) -> int:
+        """Ones of a plane before a block, as the image holds them."""
+        return self._number(self.starts[plane] + 4 * block)
+
+    def _frame(self, plane: int, group: int) -> bytes:
+        """Packed bits of a group of blocks."""
+        ends = self.starts[plane] + 4 * (self.blocks + 1)
+        first = self._number(ends + 4 * (group - 1)) if group else 0
+        start = ends + 4 * self.groups
+        data = self.image[start + first : start + self._number(ends + 4 * group)]
+        size = (min(self.n - group * _GROUP, _GROUP) + 7) // 8
+        return bytes(data) if len(data) == size else self._unzip.decompress(data)
+
+    def _block(self, plane: int, block: int) -> np.ndarray:
+        """Bits of a block."""
+        group, inside = divmod(block, _GROUP // _BLOCK)
+        if (plane, group) not in self._open:
+            if len(self._open) >= _OPEN:
+                self._open.pop(next(iter(self._open)))
+            self._open[plane, group] = self._frame(plane, group)
+        some = self._open[plane, group][inside * _BLOCK // 8 : (inside + 1) * _BLOCK // 8]
+        return np.unpackbits(np.frombuffer(some, np.uint8), count=min(self.n - block * _BLOCK, _BLOCK)).view(bool)
 
     def _bits(self, plane: int) -> np.ndarray:
-        packed = np.frombuffer(zstandard.ZstdDecompressor().decompress(self.frames[plane]), np.uint8)
-        return np.unpackbits(packed, count=self.n).view(bool)
-
-    def _plane(self, plane: int) -> tuple[np.ndarray, np.ndarray]:
-        """Bits of a plane and the ones before each block."""
-        if plane not in self._open:
-            bits = self._bits(plane)
-            blocks = np.add.reduceat(bits, np.arange(0, self.n, _BLOCK), dtype=np.int64) if self.n else np.zeros(0)
-            self._open[plane] = bits, np.concatenate(([0], np.cumsum(blocks))).astype(np.int64)
-        return self._open[plane]
+        packed = b"".join(self._frame(plane, group) for group in range(self.groups))
+        return np.unpackbits(np.frombuffer(packed, np.uint8), count=self.n).view(bool)
 
     def _ones(self, plane: int, i: int) -> int:
-        bits, before = self._plane(plane)
-        block = i // _BLOCK
-        return int(before[block]) + int(np.count_nonzero(bits[block * _BLOCK : i]))
+        block, inside = divmod(i, _BLOCK)
+        before = self._before(plane, block)
+        return before + int(np.count_nonzero(self._block(plane, block)[:inside])) if inside else before
 
     def tokens(self) -> np.ndarray:
         """All ids in order: the planes undone from the last to the first."""
@@ -119,7 +165,7 @@ class WaveletMatrix:
             raise IndexError(i)
         value = 0
         for plane in range(self.width):
-            bit, ones = bool(self._plane(plane)[0][i]), self._ones(plane, i)
+            bit, ones = bool(self._block(plane, i // _BLOCK)[i % _BLOCK]), self._ones(plane, i)
             value = value << 1 | bit
             i = self.zeros[plane] + ones if bit else i - ones
         return value
@@ -151,18 +197,16 @@ class WaveletMatrix:
             raise IndexError(k)
         i = lo + k
         for plane in range(self.width - 1, -1, -1):
-            bits, before = self._plane(plane)
-            if token >> (self.width - 1 - plane) & 1:
-                nth = i - self.zeros[plane]
-                block = int(np.searchsorted(before, nth, side="right")) - 1
-                rest = nth - int(before[block])
-                inside = np.flatnonzero(bits[block * _BLOCK : (block + 1) * _BLOCK])
-            else:
-                clear = np.minimum(np.arange(len(before)) * _BLOCK, self.n) - before
-                block = int(np.searchsorted(clear, i, side="right")) - 1
-                rest = i - int(clear[block])
-                inside = np.flatnonzero(~bits[block * _BLOCK : (block + 1) * _BLOCK])
-            i = block * _BLOCK + int(inside[rest])
+            one = bool(token >> (self.width - 1 - plane) & 1)
+            nth = i - self.zeros[plane] if one else i
+
+            def ahead(block: int) -> int:
+                """Bits of the wanted kind before a block."""
+                ones = self._before(plane, block)
+                return ones if one else min(block * _BLOCK, self.n) - ones
+
+            block = bisect_right(range(self.blocks), nth, key=ahead) - 1
+            i = block * _BLOCK + int(np.flatnonzero(self._block(plane, block) == one)[nth - ahead(block)])
         return i
 
 
@@ -235,16 +279,16 @@ def encode_batch(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return sums(sizes[codes], n_words), gather(codes, sizes, np.frombuffer(b"".join(coded), "<u4"))
 
 
-_SHARD = "part INT, shard INT, n_docs BIGINT, n_tokens BIGINT, doc_ids ARRAY<BIGINT>, lengths ARRAY<BIGINT>, image BINARY"
+_SHARD = "part INT, shard INT, n_docs BIGINT, n_tokens BIGINT, doc_ids ARRAY<BIGINT>, image BINARY"
 
 
 def _writer(path: str, shard_tokens: int):
     def image(shard: int, part: int, docs: list, lengths: list, ids: list) -> pa.RecordBatch:
         doc_ids, counts, tokens = pa.concat_arrays(docs), np.concatenate(lengths), np.concatenate(ids)
-        row = [part, shard, len(doc_ids), len(tokens), doc_ids.to_pylist(), counts.tolist()]
-        types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+        row = [part, shard, len(doc_ids), len(tokens), doc_ids.to_pylist()]
+        types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
         names = [field.split()[0] for field in _SHARD.split(", ")]
-        row.append(WaveletMatrix.build(tokens).to_bytes())
+        row.append(WaveletMatrix.build(tokens, counts).to_bytes())
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,8 +364,8 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [field.split()[0] for field in _DOCUMENT.split(", ")]
     for batch in batches:
         for i in range(batch.num_rows):
-            tokens = WaveletMatrix.from_bytes(batch.column("image")[i].as_py()).tokens().astype("<u4")
-            lengths = batch.column("lengths")[i].values.to_numpy()
+            matrix = WaveletMatrix.from_bytes(batch.column("image")[i].as_py())
+            tokens, lengths = matrix.tokens().astype("<u4"), matrix.lengths()
             ends = np.cumsum(lengths)
             data = memoryview(tokens.tobytes())
             sums = [zlib.crc32(data[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist())]
@@ -338,7 +382,7 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_documents(spark, folder: str) -> DataFrame:
     """Per document, from the files alone: doc_id, start, n_tokens, ids_crc32, shard_start."""
-    needed = read_shards(spark, folder).select("doc_ids", "lengths", "image", "start")
+    needed = read_shards(spark, folder).select("doc_ids", "image", "start")
     return needed.mapInArrow(_reader, _DOCUMENT)
 
 

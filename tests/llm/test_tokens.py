@@ -94,6 +94,25 @@ def test_wavelet_matrix():
             matrix.select(0, n)
 
 
+def test_an_access_opens_few_frames():
+    n = 300_000
+    ids = np.random.default_rng(5).zipf(1.3, n).clip(max=49_000).astype(np.uint32)
+    lengths = np.array([100_000, 0, 200_000])
+    data = token_shards.WaveletMatrix.build(ids, lengths).to_bytes()
+    assert len(data) < 2 * n * 1.1
+    for place in (0, 511, 512, 32_768, 123_456, n - 1):
+        matrix = token_shards.WaveletMatrix.from_bytes(data)
+        assert matrix.access(place) == ids[place]
+        assert len(matrix._open) <= matrix.width and sum(map(len, matrix._open.values())) <= matrix.width * 4096
+        before = int((ids[:place] == ids[place]).sum())
+        assert matrix.rank(int(ids[place]), place) == before and matrix.select(int(ids[place]), before) == place
+        assert len(matrix._open) <= token_shards._OPEN
+    assert matrix.documents == 3 and matrix.lengths().tolist() == lengths.tolist()
+    assert matrix.tokens().tolist() == ids.tolist()
+    with pytest.raises(ValueError):
+        token_shards.WaveletMatrix.from_bytes(b"QYWMAT01" + data[8:])
+
+
 @pytest.mark.parametrize("shard_tokens", [1, 50, 1 << 20])
 def test_shards_are_read_back(spark, table, shard_tokens):
     ids = [7, 3, None, 12, 5, 3, 100, -4, 50]
