@@ -73,6 +73,27 @@ def salted_join(
     return _repeated(joined) if copies else joined
 
 
+def spread_join(
+    left: DataFrame, right: DataFrame, key: str, counted: DataFrame | None = None, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Inner join on `key` that deals a hot left key out to many tasks, without a job while the plan is built.
+
+    Hot keys come from a count per key over `counted` (`left` by default) that is a part of the plan; each has
+    more than `rows_per_task` rows, so at most a row in `rows_per_task` of the table is broadcast. The salt hangs
+    on the row and on the task that holds it, as rows may be the same in all columns; any salt meets every
+    partner once.
+    """
+    counts = (left if counted is None else counted).where(F.col(key).isNotNull()).groupBy(key).count()
+    hot = counts.where(F.col("count") > rows_per_task)
+    hot = F.broadcast(hot.select(key, F.ceil(F.col("count") / rows_per_task).cast("int").alias("_salts")))
+    salt = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.col("_salts"))
+    salt = F.when(F.col("_salts").isNull(), 0).otherwise(salt).cast("int")
+    salted = left.join(hot, key, "left").withColumn("_salt", salt).drop("_salts")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    partners = right.join(hot, key, "left").withColumn("_salt", every).drop("_salts")
+    return salted.join(partners, [key, "_salt"]).drop("_salt")
+
+
 def _as_portions(df: DataFrame, rows_per_task: int) -> DataFrame:
     """Equal rows as one row per portion with its number of `_copies`."""
     portions = F.ceil(F.col("_rows") / rows_per_task).cast("int")

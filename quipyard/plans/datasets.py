@@ -17,7 +17,7 @@ from quipyard.operators.filters import (
     observed_filter,
     sft_votes_ok,
 )
-from quipyard.operators.joins import salted_join, top_comment_matches
+from quipyard.operators.joins import spread_join, top_comment_matches
 from quipyard.operators.packing import pack_sequences
 from quipyard.operators.ranking import top_worst_pairs
 from quipyard.operators.sampling import SEED, TEST_SHARE, train_test_split
@@ -68,13 +68,13 @@ def build_dpo_dataset(
     pairs = top_worst_pairs(comments, ["comment_text", "pcu_value", "pcd_value"])
     articles = article_prompts(details, **prompt_options)
     if top_comments is None:
-        articles = articles.select("url", "prompt", "top_comment_text")
+        articles = drop_null_in(articles.select("url", "prompt", "top_comment_text"), ["prompt", "top_comment_text"])
     else:
         articles = articles.select("url", "prompt")
         pairs = pairs.join(top_comments, "url")
     dataset = select_renamed(
         # One pair per url, but an article may have been captured many times.
-        salted_join(articles, pairs, "url", counted=details, copies=True, **(salting or {})),
+        spread_join(articles, pairs, "url", counted=details, **(salting or {})),
         {
             "prompt": "prompt",
             "chosen": "top_comment_text",

@@ -260,3 +260,23 @@ def test_copies_of_one_article_are_spread_and_kept(table):
     two = joins._as_portions(details.select("url", "article_text"), 30)
     assert sorted(r._copies for r in two.where("article_text = 'same'").collect()) == [28, 29]
     assert joins._repeated(two, step=4).count() == len(rows)
+
+
+def test_spread_join_builds_its_plan_without_a_job(spark, table):
+    rows = [("hot", "same")] * 300 + [(f"k{i % 40}", f"t{i}") for i in range(200)] + [(None, "x")] * 50
+    left = table("url STRING, text STRING", *rows, partitions=6)
+    right = table("url STRING, m INT", ("hot", 1), *[(f"k{i}", i) for i in range(0, 40, 2)], (None, 1))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "no job may run")
+    joined = {size: joins.spread_join(left, right, "url", rows_per_task=size) for size in (3, 50, 1_000_000)}
+    datasets.build_dpo_dataset(table(COMMENTS), table(DETAILS))
+    assert list(tracker.getJobIdsForGroup("plan-only")) == []
+    spark.sparkContext.setJobGroup("others", "")
+    plain = sorted(map(str, left.join(right, "url").collect()))
+    for found in joined.values():
+        assert sorted(map(str, found.collect())) == plain
+    tasks = joined[50].withColumn("task", F.spark_partition_id()).where("url = 'hot'")
+    plan = joined[50]._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and tasks.count() == 300
+    empty = left.where("false")
+    assert joins.spread_join(empty, right, "url").count() == joins.spread_join(left, right.where("false"), "url").count() == 0
