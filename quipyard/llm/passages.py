@@ -22,6 +22,11 @@ Texts are lower-cased (A-Z) and cut at ASCII whitespace and punctuation into wor
    documents share one that lies in no passage found so far, all runs of LEAST words around it elect an
    owner of their own, which has at least those words in common with every other document. So no document
    with LEAST equal words in a row is left out, whatever else holds parts of them.
+5. Partners beside the owners. A place of a seed is settled if a passage leads from it to the owner of the seed,
+   or to another document that has the seed there: that document stands for it. All documents where a seed
+   is not settled, and its owner, are compared with each other as far as they share two such seeds that are
+   far enough apart for a chain (see 2), which every chain has. So edited passages whose seeds belong to
+   others are found whoever owns them, and no number of documents with a seed is too high.
 
 Only links and the words near them are shuffled, and a join of seeds with owners can be split where
 many documents share a seed. Repeats inside one document are not reported. Rows with the same id count
@@ -36,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipyard.llm.decontamination import _TABLE
@@ -49,6 +54,8 @@ MOST_GAP, MARGIN = 50, 64
 GAP_COST = 0.05
 #: Words of a long seed: with a window of WINDOW places, each run of LEAST words has one.
 LONG = LEAST - WINDOW + 1
+#: Words from first to last of a chain; the ends of a passage hold no seed.
+SPAN = max(K, LEAST - 2 * (K + WINDOW))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STRETCH = np.uint64(0xD6E8FEB86659FD93)
 _NO_ID = -(1 << 63)
@@ -301,8 +308,7 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def finish(pair, parts):
         x, y = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
-        least = LEAST - 2 * (K + WINDOW)  # the ends of a passage hold no seed
-        paths = [p for p in chain(merge_diagonals(x, y)) if p[-1][0] + p[-1][2] - p[0][0] >= max(K, least)]
+        paths = [p for p in chain(merge_diagonals(x, y)) if p[-1][0] + p[-1][2] - p[0][0] >= SPAN]
         return [(*pair, [dict(zip("xyn", s)) for s in path]) for path in paths]
 
     def batch_of(rows):
@@ -341,9 +347,9 @@ def _owned(seeds: DataFrame) -> DataFrame:
 
 
 def first_links(docs: DataFrame) -> DataFrame:
-    """(doc, owner, at, owner_at): the seeds of each document and their owners; `docs` has doc and words."""
+    """(seed, doc, owner, at, owner_at): the seeds of each document and their owners; `docs` has doc and words."""
     seeds = docs.mapInArrow(_seeds_by(minimizers), "seed BIGINT, doc BIGINT, at INT")
-    return seeds.join(_owned(seeds), "seed").filter("doc <> owner").select("doc", "owner", "at", "owner_at")
+    return seeds.join(_owned(seeds), "seed").filter("doc <> owner").select("seed", "doc", "owner", "at", "owner_at")
 
 
 def second_links(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -369,6 +375,49 @@ def second_links(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
+def _within(at: str, start: str, end: str) -> Column:
+    """Whether a seed of K words lies in a passage."""
+    return (F.col(at) >= F.col(start)) & (F.col(at) + K <= F.col(end))
+
+
+def unsettled(links: DataFrame, found: DataFrame) -> DataFrame:
+    """The links of `first_links` whose document has no passage there with another one that has the seed; stored."""
+    with_owner = (F.col("l.doc") == F.col("p.doc")) & (F.col("l.owner") == F.col("p.owner"))
+    with_owner &= _within("at", "start", "end") & _within("owner_at", "owner_start", "owner_end")
+    open_ = store(links.alias("l").join(found.alias("p"), with_owner, "left_anti"), "open-links")
+    spans = found.select("doc", "start", "end", F.col("owner").alias("other"), "owner_start", "owner_end")
+    beside = open_.join(spans, "doc").filter(_within("at", "start", "end") & (F.col("other") != F.col("owner")))
+    partners = links.select("seed", F.col("doc").alias("other"), F.col("at").alias("other_at"))
+    settled = beside.join(partners, ["seed", "other"]).filter(_within("other_at", "owner_start", "owner_end"))
+    return store(open_.join(settled.select("seed", "doc", "at").distinct(), ["seed", "doc", "at"], "left_anti"), "unsettled")
+
+
+def _seed_pairs(places: DataFrame, least: int, most: int) -> DataFrame:
+    """(s, t, doc, owns): seeds of a document with t from `least` to `most` words behind s; whether it owns both."""
+    part = F.floor(F.col("at") / most)
+    first = places.select("doc", F.col("seed").alias("s"), F.col("at").alias("s_at"), F.col("owns").alias("owns_s"), F.explode(F.array(part, part + 1)).alias("part"))
+    second = places.select("doc", F.col("seed").alias("t"), F.col("at").alias("t_at"), F.col("owns").alias("owns_t"), part.alias("part"))
+    apart = F.col("t_at") - F.col("s_at")
+    both = first.join(second, ["doc", "part"]).filter((apart >= least) & (apart <= most))
+    return both.select("s", "t", "doc", (F.col("owns_s") & F.col("owns_t")).alias("owns"))
+
+
+def further_links(links: DataFrame) -> DataFrame:
+    """Links of all pairs of documents of unsettled links that may have a chain, beside those known by then."""
+    mine = links.select("seed", "doc", "at", F.lit(False).alias("owns"))
+    owners = links.select("seed", F.col("owner").alias("doc"), F.col("owner_at").alias("at"), F.lit(True).alias("owns")).distinct()
+    places = store(mine.union(owners), "unsettled-places")
+    # Of a chain's seeds, the first and the next that is SPAN - K words off are at most a gap farther apart; in the
+    # other text they follow one another over three gaps at most. An owner of both was compared by then.
+    mine = _seed_pairs(places, SPAN - K, SPAN + MOST_GAP + K).select("s", "t", "doc").distinct()
+    theirs = _seed_pairs(places, K, SPAN + 3 * (MOST_GAP + K)).groupBy("s", "t", F.col("doc").alias("owner"))
+    theirs = theirs.agg(F.max("owns").alias("known")).filter("NOT known").drop("known")
+    pairs = mine.join(theirs, ["s", "t"]).filter("doc > owner").select("doc", "owner").distinct()
+    pairs = store(pairs, "pairs")
+    theirs = places.groupBy("seed", F.col("doc").alias("owner")).agg(F.min("at").alias("owner_at"))
+    return pairs.join(places, "doc").join(theirs, ["seed", "owner"]).select("doc", "owner", "at", "owner_at")
+
+
 def _hinted(rows: DataFrame) -> DataFrame:
     """Broadcast a stored table of few rows, each of which is short."""
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
@@ -377,6 +426,7 @@ def _hinted(rows: DataFrame) -> DataFrame:
 def chains_of(links: DataFrame) -> DataFrame:
     """doc, owner and path of each chain of seeds."""
     pairs = ["doc", "owner"]
+    links = links.select(*pairs, "at", "owner_at")
     return links.repartition(*pairs).sortWithinPartitions(*pairs).mapInArrow(_chains, f"doc BIGINT, owner BIGINT, path {_PATH}")
 
 
@@ -442,10 +492,16 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     similarity. `source_id` is the owner that the document is compared with, always another document."""
     texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("doc"), F.col(text).alias("text"))
     named = store(texts.mapInArrow(_coded, "doc BIGINT, words BINARY"), "words")  # texts are cut up once
-    found = store(passages_along(first_links(named), named), "passages")
+    links = store(first_links(named), "links")
+    found = store(passages_along(links, named), "passages")
     more = passages_along(second_links(named, found), named)
+    found = found.union(store(more.join(found, found.columns, "left_anti"), "more-passages"))
+    rest = passages_along(further_links(unsettled(links, found)), named)
+    same = [F.col(f"r.{c}") == F.col(f"f.{c}") for c in ("doc", "owner")]
+    inside = [F.col("r.start") >= F.col("f.start"), F.col("r.end") <= F.col("f.end")]
+    rest = rest.alias("r").join(found.alias("f"), [*same, *inside], "left_anti")
     known = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
-    return found.union(more.join(found.select(*found.columns), found.columns, "left_anti")).select(
+    return found.union(rest).select(
         known("doc").alias("doc_id"),
         "start",
         "end",

@@ -56,6 +56,20 @@ def test_pieces_in_early_documents_hide_nothing(table):
     assert named(found) == {10, 11, 22, 25}
 
 
+def test_edited_passages_whose_seeds_belong_to_others(table):
+    rng = random.Random(5)
+    whole, texts = prose(rng, 120), {}
+    for i, a in enumerate(range(0, 108, 12)):  # owners of all seeds, each with a piece
+        texts[i] = [*prose(rng, 30), *whole[max(a - 8, 0) : a + 20], *prose(rng, 30)]
+    for i in (50, 51, 52):  # no 25 words in a row are equal
+        copy = [f"edit{i}x{k}" if k % 24 == 4 * (i - 50) else w for k, w in enumerate(whole)]
+        texts[i] = [*prose(rng, 20 + i - 50), *copy, *prose(rng, 20)]
+    docs = table("doc_id BIGINT, text STRING", *[(i, " ".join(w)) for i, w in texts.items()])
+    found = passages.repeated_passages(docs).collect()
+    check(texts, found)
+    assert {(51, 50), (52, 50), (52, 51)} == {(r.doc_id, r.source_id) for r in found}
+
+
 @pytest.mark.parametrize("seed", [0, 1, 2])
 def test_recall_against_all_pairs(table, seed):
     rng = random.Random(seed)
