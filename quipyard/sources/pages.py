@@ -21,6 +21,7 @@ from quipyard.operators.columns import drop_any_null, normalize_columns, sentine
 from quipyard.operators.filters import matches_url
 from quipyard.operators.ranks import spread
 from quipyard.schemas import MISSING, NO_DESCRIPTION, PAGES, RAW_COMMENTS
+from quipyard.sources.batches import in_parts
 from quipyard.sources.html_tree import Element, parse
 
 
@@ -141,7 +142,7 @@ def parse_pages(
     arrow_schema = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, "html"):
             rows = [parse_one(row["url"].as_py(), row["html"].as_py()) for row in _rows(batch)]
             yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
