@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quipyard.session import store
+from quipyard.sources.batches import in_parts
 
 #: Ranges up to which their table, one short row each, is broadcast; beyond, it is joined.
 BROADCAST_RANGES = 100_000
@@ -121,7 +122,7 @@ def find_ranges(pieces: DataFrame, kind: CsvLines | JsonPieces) -> DataFrame:
             text = "".join(head) if whole else None
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((*current, s0, s1, d0, d1, text), types)], names)
 
-        for batch in batches:
+        for batch in in_parts(batches, "value"):
             for key, values in _runs(batch):
                 if key != current:
                     if current is not None:
@@ -258,7 +259,7 @@ def _cut(pieces: DataFrame, kind: CsvLines | JsonPieces) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current: _Open | None = None
-        for batch in batches:
+        for batch in in_parts(batches, "value"):
             for key, values in _runs(batch):
                 (*key, state, depth) = key
                 if current is None or key != current.key:

@@ -15,6 +15,7 @@ from quipyard.functions.votes import parse_votes
 from quipyard.operators.columns import na_tokens_to_null
 from quipyard.schemas import ARTICLE_URLS, CLEAN_DETAILS, COMMENT_LOG, COMMENTS, DETAILS, NA_TOKENS, RAW_COMMENTS
 from quipyard.sources import log
+from quipyard.sources.batches import in_parts
 from quipyard.sources.ranges import CsvLines, JsonPieces, cut_records, find_ranges, last_ranges, read_pieces
 
 #: What is appended to the path of a log for its rows without an id.
@@ -153,7 +154,7 @@ def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None
 
     def enclosed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark = "["
-        for batch in batches:
+        for batch in in_parts(batches, "value"):
             lines = []
             for record in batch.column("value"):
                 lines.append(mark + record.as_py())

@@ -5,6 +5,7 @@ import io
 import json
 import random
 
+import pyarrow as pa
 import pytest
 
 from quipyard.schemas import DETAILS, RAW_COMMENTS
@@ -138,3 +139,31 @@ def test_truncated_and_foreign_arrays_are_errors(spark, small_ranges, tmp_path):
         path.write_text(text)
         with pytest.raises(Exception):
             tables.read_details_json(spark, str(path), array=True).collect()
+
+
+def test_python_works_on_parts_of_bounded_size():
+    from quipyard.sources.batches import in_parts
+
+    texts = ["x" * 10, None, "é" * 30, "y" * 500, "", "z" * 90] * 3
+    batch = pa.RecordBatch.from_pydict({"value": texts, "n": list(range(18))})
+    parts = list(in_parts(iter([batch, batch.slice(0, 0)]), "value", 100))
+    assert [n for p in parts for n in p.column("n").to_pylist()] == list(range(18))
+    assert all(p.num_rows == 1 or sum(len((t or "").encode()) for t in p.column("value").to_pylist()) <= 100 for p in parts)
+
+
+@pytest.mark.parametrize("kind", [ranges.CsvLines, ranges.JsonPieces])
+def test_large_batches_are_cut_in_parts(kind, monkeypatch):
+    """Ten megabytes in one batch never meet the patterns at once."""
+    most, steps = [], kind.steps
+    monkeypatch.setattr(kind, "steps", lambda self, values: most.append(values.nbytes) or steps(self, values))
+    end = "\n" if kind is ranges.CsvLines else "}"
+    lines = ["a,b"] + ["x" * 2000 + ",1"] * 5000 if end == "\n" else ['[{"a": 1'] + [',{"a": "' + "x" * 2000 + '"'] * 5000
+    batch = pa.RecordBatch.from_pydict({"file": [1] * 5001, "block": [0] * 5001, "tag": [1] * 5001, "state": pa.array([0] * 5001, pa.int32()), "depth": [0] * 5001, "value": lines})
+
+    class Pieces:
+        def mapInArrow(self, work, schema):  # noqa: N802
+            return list(work(iter([batch])))
+
+    found = ranges._cut(Pieces(), kind())
+    assert "".join(t for b in found for t in b.column("text").to_pylist()) == "".join(line + end for line in lines)
+    assert max(most) < 2 << 20
