@@ -192,7 +192,7 @@ def csv_split_file(t):
     """One file with line breaks in its cells, read in as many byte ranges as Spark deals it out in."""
     path = scratch_path(t.spark, "comments") + ".csv"
     broken = F.concat("comment_text", F.lit('\n"'), "comment_text", F.lit('",\r\n'))
-    tables.write_csv(comments(t).withColumn("comment_text", broken).coalesce(1), path, rows_per_file=0)
+    tables.write_csv(comments(t).withColumn("comment_text", broken).repartition(1), path, rows_per_file=0)
     back = tables.read_comments_csv(t.spark, path, na_tokens=())
     whole = F.expr("substring(comment_text, 1, (length(comment_text) - 6) div 2)")
     kept = F.when(F.col("comment_text") == F.concat(whole, F.lit('\n"'), whole, F.lit('",\r\n')), whole)
