@@ -27,11 +27,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quipyard.session import store
+
 #: Folders that are merged at once; commits that are kept; sources whose last batch is remembered.
 FAN = 8
 KEEP = 100
 SOURCES = 1000
 ATTEMPTS = 1000
+#: Repeated keys in one append up to which they are broadcast; beyond, all rows are shuffled.
+REPEATED = 100_000
 
 
 @dataclass
@@ -141,6 +145,19 @@ def _least(rows: DataFrame, schema: T.StructType, key: str, *order: str) -> Data
     return rows.groupBy(key).agg(least).select(*[F.col(c) if c == key else F.col("row")[c].alias(c) for c in schema.names])
 
 
+def _once(rows: DataFrame, schema: T.StructType, key: str) -> DataFrame:
+    """As `_least`, of a table that may be read twice: keys are counted, and only rows with a repeated one move."""
+    repeated = store(rows.groupBy(key).count().where("count > 1").select(key), "repeated-keys")
+    found = repeated.count()
+    if found > REPEATED:
+        return _least(rows, schema, key)
+    if not found:
+        return rows.select(*schema.names)
+    repeated = F.broadcast(repeated)
+    alone = rows.join(repeated, key, "left_anti").select(*schema.names)
+    return alone.union(_least(rows.join(repeated, key, "left_semi"), schema, key))
+
+
 def _read(spark: SparkSession, path: str, schema: T.StructType, key: str, names: list[str]) -> DataFrame:
     if not names:
         return spark.createDataFrame([], schema)
@@ -158,12 +175,19 @@ def read(spark: SparkSession, path: str, schema: T.StructType, key: str) -> Data
 
 
 def append(
-    rows: DataFrame, path: str, schema: T.StructType, key: str, source: str | None = None, batch: int | None = None
+    rows: DataFrame,
+    path: str,
+    schema: T.StructType,
+    key: str,
+    source: str | None = None,
+    batch: int | None = None,
+    stored: bool = False,
 ) -> None:
     """Add rows; those whose key the log holds already, in any commit before this one, never count.
 
     Of several new rows with one key the smallest (by all columns) is kept. A `source` numbers its
-    batches: one that is in the log already is not written again.
+    batches: one that is in the log already is not written again. `stored` rows, of which every reading
+    gives the same, are shuffled only where their key is repeated.
     """
     spark = rows.sparkSession
 
@@ -172,7 +196,7 @@ def append(
 
     if known(state_of(spark, path)):
         return
-    name = _write(_least(rows, schema, key), path)
+    name = _write((_once if stored else _least)(rows, schema, key), path)
 
     def add(state: State) -> State | None:
         if known(state):

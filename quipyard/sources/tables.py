@@ -173,19 +173,21 @@ def append_new(
     key: str = "comment_id",
     source: str | None = None,
     batch: int | None = None,
+    stored: bool = False,
 ) -> None:
     """Append rows to a log (see `quipyard.sources.log`); rows whose key it holds already do not count.
 
     Of several new rows with one key the smallest (by all columns) is kept, so a
     repeated run writes the same row. Rows without a key go to the log at
-    `path` + NO_KEY, told apart by a hash of all their columns.
+    `path` + NO_KEY, told apart by a hash of all their columns. Rows of a `stored` table
+    may be read several times; then only those with repeated keys are shuffled.
     """
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     digest = F.sha2(F.to_json(F.struct(*schema.names), {"ignoreNullFields": "false"}), 256)
     wide = T.StructType([*schema.fields, T.StructField("row_hash", T.StringType())])
     unnamed = rows.where(F.col(key).isNull()).withColumn("row_hash", digest)
-    log.append(unnamed, path.rstrip("/") + NO_KEY, wide, "row_hash", source, batch)
-    log.append(rows.where(F.col(key).isNotNull()), path, schema, key, source, batch)
+    log.append(unnamed, path.rstrip("/") + NO_KEY, wide, "row_hash", source, batch, stored)
+    log.append(rows.where(F.col(key).isNotNull()), path, schema, key, source, batch, stored)
 
 
 def append_comment_log(df: DataFrame, path: str) -> None:

@@ -33,8 +33,8 @@ def review_batch(
     marked = store(batch if "reasons" in batch.columns else with_problems(batch), "reviewed")
     good = F.size("reasons") == 0
     accepted, rejected = marked.where(good), marked.where(~good)
-    append_new(accepted, log_path, COMMENT_LOG, source=source, batch=number)
-    append_new(rejected, rejected_path, REJECTED_LOG, source=source, batch=number)
+    append_new(accepted, log_path, COMMENT_LOG, source=source, batch=number, stored=True)
+    append_new(rejected, rejected_path, REJECTED_LOG, source=source, batch=number, stored=True)
     discard(marked)
 
 

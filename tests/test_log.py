@@ -136,3 +136,17 @@ def test_repeats_end_in_the_state_store(spark, tmp_path):
     )
     batches = dict(seen)
     assert [batches.get(n, []) for n in range(4)] == [["None", "a"], ["a", "b"], ["None"], ["c"]]
+
+
+def test_stored_rows_move_only_where_a_key_is_repeated(spark, table, tmp_path, monkeypatch):
+    alone = rows_of(table, ["a", "b", "c"])
+    assert "Exchange" in log._least(alone, COMMENT_LOG, "comment_id")._jdf.queryExecution().executedPlan().toString()
+    path, rows = str(tmp_path / "one"), spark.createDataFrame([("a", "u", "x", MOMENT)], KIND).coalesce(1)
+    rows.write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert "Exchange" not in log._once(stored, COMMENT_LOG, "comment_id")._jdf.queryExecution().executedPlan().toString()
+    some = rows_of(table, ["a", "b", "a", "c", "a"]).union(rows_of(table, ["a", "d", "d"], "w"))
+    for most in (log.REPEATED, 1):
+        monkeypatch.setattr(log, "REPEATED", most)
+        least = log._least(some, COMMENT_LOG, "comment_id").collect()
+        assert sorted(log._once(some, COMMENT_LOG, "comment_id").collect()) == sorted(least)
