@@ -21,12 +21,12 @@ empty table gives no shards.
 from __future__ import annotations
 
 import json
-import re
 import struct
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +36,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quipyard.llm.words import Memo, gather, slices, split_words, sums
+from quipyard.llm.words import gather, slices, split_words, sums
 from quipyard.session import scratch_path
 
 #: Tokens after which a shard is closed.
 SHARD_TOKENS = 1 << 20
 END_ID = 1
+#: Bytes of text whose words are looked up at once.
+WORDS_BYTES = 8 << 20
 MAGIC = b"QYWMAT02"
 _HEAD = "<8sIQQ"
 _HEAD_SIZE = struct.calcsize(_HEAD)
@@ -50,7 +52,7 @@ _BLOCK = 512
 _GROUP = 1 << 15
 _OPEN = 64
 #: Letters that normalise to one lowercase letter each, and stops that always part from them.
-_LATIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
+_LATIN, _STOPS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$", ".,;:!?"
 
 
 class WaveletMatrix:
@@ -78,9 +80,9 @@ class WaveletMatrix:
         for bit in range(width - 1, -1, -1):
             ones = (x >> bit & 1).astype(bool)
             planes.append(cls._section(ones))
-            low = x.take(np.flatnonzero(~ones))
+            low = np.compress(~ones, x)
             zeros.append(len(low))
-            x = np.concatenate((low, x.take(np.flatnonzero(ones))))
+            x = np.concatenate((low, np.compress(ones, x)))
         head = struct.pack(_HEAD, MAGIC, width, len(ids), len(lengths))
         table = b"".join(struct.pack("<QQ", z, len(p)) for z, p in zip(zeros, planes))
         ends = zstandard.ZstdCompressor(level=1).compress(lengths.astype("<u8").tobytes())
@@ -210,10 +212,65 @@ class WaveletMatrix:
         return i
 
 
+def _tails(words: pa.Array, heads: pa.Array) -> pa.Array:
+    """What stands behind each head in its word."""
+    data = words.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    starts = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, 8 * words.offset)
+    skipped = pc.binary_length(heads).to_numpy()
+    sizes = np.diff(starts) - skipped
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    places = np.repeat(starts[:-1] + skipped - ends[:-1], sizes) + np.arange(ends[-1])
+    return pa.Array.from_buffers(pa.large_string(), len(words), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[places])])
+
+
+class _Known:
+    """Ids of words in arrays beside the words; of those asked for, only unknown ones are computed.
+
+    Beyond `most` words, or 64 bytes for each, the half that was asked for last stays, without very long words.
+    """
+
+    def __init__(self, compute: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 400_000):
+        self.compute, self.most, self.round = compute, most, 0
+        self.words = pa.array([], pa.large_string())
+        self.sizes, self.flat, self.used = np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and all ids."""
+        at = _places(words, self.words)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            wanted = words.take(pa.array(new))
+            unknown = wanted.unique()
+            at[new] = len(self.words) + _places(wanted, unknown)
+            sizes, flat = self.compute(unknown.to_pylist())
+            self.words = pa.concat_arrays([self.words, unknown])
+            self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
+            self.used = np.concatenate([self.used, np.zeros(len(unknown), np.int64)])
+        self.round += 1
+        self.used[at] = self.round
+        found = self.sizes[at], gather(at, self.sizes, self.flat)
+        if len(self.words) > self.most or self.words.nbytes > 72 * self.most:  # with offsets of 8 bytes
+            self._forget()
+        return found
+
+    def _forget(self) -> None:
+        kept = pc.binary_length(self.words).to_numpy() <= 64
+        kept[np.argsort(-self.used, kind="stable")[self.most // 2 :]] = False
+        places = np.flatnonzero(kept)
+        self.flat = gather(places, self.sizes, self.flat)
+        self.words, self.sizes, self.used = self.words.take(pa.array(places)), self.sizes[places], self.used[places]
+
+
+def _places(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Place of each word in `known`, -1 for others."""
+    return pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 class _Library:
     """The tokenizers library on words, many at a time.
 
-    Latin words, with or without a stop behind them, are encoded in long rows of words: each letter
+    Latin words, with or without stops behind them, are encoded in long rows of words: each letter
     run is one piece there, so its ids end with the only token that has the end-of-word suffix.
     """
 
@@ -227,42 +284,43 @@ class _Library:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         for token, i in vocab.items():
             self.ends[i] = token.endswith(suffix)
-        self.letters, self.stops = Memo(self._rows), Memo(self._single)
+        self.letters, self.stops, self.others = _Known(self._rows), _Known(self._single), _Known(self._single)
 
-    def _single(self, words: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in coded]
+    def _single(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        coded = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        return sizes, np.fromiter(chain.from_iterable(coded), np.uint32, int(sizes.sum()))
 
-    def _rows(self, words: list[str], row: int = 2000) -> list[bytes]:
-        found: list[bytes] = []
+    def _rows(self, words: list[str], row: int = 2000) -> tuple[np.ndarray, np.ndarray]:
+        found = []
         for start in range(0, len(words), row):
             some = words[start : start + row]
             [coded] = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
-            ids = np.array(coded.ids, "<u4")
-            data, at = ids.tobytes(), [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
-            if len(at) == len(some) + 1:
-                found += [data[i:j] for i, j in zip(at, at[1:])]
-            else:
-                found += self._single(some)
-        return found
-
-    def __call__(self, words: list[str]) -> list[bytes]:
-        found: list[bytes] = [b""] * len(words)
-        cut = list(map(_LATIN_WORD, words))
-        plain = [i for i, m in enumerate(cut) if m]
-        heads = self.letters([cut[i][1].lower() for i in plain])
-        tails = self.stops([cut[i][2] for i in plain])
-        for i, head, tail in zip(plain, heads, tails):
-            found[i] = head + tail
-        others = [i for i, m in enumerate(cut) if not m]
-        for i, ids in zip(others, self._single([words[i] for i in others])):
-            found[i] = ids
-        return found
+            ids = np.array(coded.ids, np.uint32)
+            sizes = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+            found.append((sizes, ids) if len(sizes) == len(some) and sizes.sum() == len(ids) else self._single(some))
+        return np.concatenate([n for n, _ in found]), np.concatenate([ids for _, ids in found])
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and all ids."""
+        heads = pc.utf8_rtrim(words, _STOPS)
+        latin = pc.match_substring_regex(heads, _LATIN).to_numpy(zero_copy_only=False)
+        plain, others = (pa.array(np.flatnonzero(m)) for m in (latin, ~latin))
+        whole, heads = words.take(plain), heads.take(plain)
+        parts = [self.letters(pc.utf8_lower(heads)), self.stops(_tails(whole, heads)), self.others(words.take(others))]
+        sizes = np.concatenate([n for n, _ in parts])
+        n = len(plain)
+        first, second = np.empty(len(words), np.int64), np.full(len(words), len(sizes))
+        first[latin], first[~latin] = np.arange(n), np.arange(2 * n, len(sizes))
+        second[latin] = np.arange(n, 2 * n)
+        sizes = np.append(sizes, 0)  # of words without stops
+        flat = gather(np.stack([first, second], axis=1).ravel(), sizes, np.concatenate([ids for _, ids in parts]))
+        return sizes[first] + sizes[second], flat
 
 
 @lru_cache(maxsize=2)
-def _library(path: str) -> Memo:
-    return Memo(_Library(path))
+def _library(path: str) -> _Library:
+    return _Library(path)
 
 
 def encode_batch(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -274,9 +332,8 @@ def encode_batch(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if not pc.any(pc.match_substring(texts, "<|")).as_py():
         texts = pc.ascii_lower(texts)
     n_words, codes, distinct = split_words(texts)
-    coded = _library(path)(distinct.to_pylist())
-    sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-    return sums(sizes[codes], n_words), gather(codes, sizes, np.frombuffer(b"".join(coded), "<u4"))
+    sizes, flat = _library(path)(distinct)
+    return sums(sizes[codes], n_words), gather(codes, sizes, flat)
 
 
 _SHARD = "part INT, shard INT, n_docs BIGINT, n_tokens BIGINT, doc_ids ARRAY<BIGINT>, image BINARY"
@@ -293,7 +350,7 @@ def _writer(path: str, shard_tokens: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, part, held, docs, lengths, ids = 0, 0, 0, [], [], []
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", WORDS_BYTES):
             part = batch.column("part")[0].as_py()
             counts, flat = encode_batch(path, batch.column("text"))
             ends = np.cumsum(counts)

@@ -138,3 +138,19 @@ def test_no_documents(spark, table):
     docs = table("doc_id BIGINT, text STRING")
     folder = token_shards.write_shards(docs, PATH)
     assert token_shards.read_documents(spark, folder).count() == 0
+
+
+def test_ids_of_known_words_are_kept():
+    asked = []
+
+    def compute(words):
+        asked.extend(words)
+        return np.array([len(w) for w in words]), np.array([ord(c) for w in words for c in w], np.uint32)
+
+    known = token_shards._Known(compute, most=4)
+    for words in (["a", "bc", "", "a"], ["bc", "d"], [], ["x" * 300, "d"], ["e", "f"], ["bc", "d", "e"], ["x" * 300]):
+        sizes, flat = known(pa.array(words, pa.large_string()))
+        assert sizes.tolist() == [len(w) for w in words]
+        assert "".join(map(chr, flat)) == "".join(words)
+        assert len(known.words) == len(known.sizes) <= 4 and len(known.flat) == known.sizes.sum() < 256
+    assert [asked.count(w) for w in ("a", "bc", "d", "e", "f", "x" * 300)] == [1, 2, 1, 1, 1, 2]
