@@ -23,10 +23,13 @@ Texts are lower-cased (A-Z) and cut at ASCII whitespace and punctuation into wor
    owner of their own, which has at least those words in common with every other document. So no document
    with LEAST equal words in a row is left out, whatever else holds parts of them.
 5. Partners beside the owners. A place of a seed is settled if a passage leads from it to the owner of the seed,
-   or to another document that has the seed there: that document stands for it. All documents where a seed
-   is not settled, and its owner, are compared with each other as far as they share two such seeds that are
-   far enough apart for a chain (see 2), which every chain has. So edited passages whose seeds belong to
-   others are found whoever owns them, and no number of documents with a seed is too high.
+   or to another document that has the seed there: that document stands for it. Documents where a seed is not
+   settled, and its owner, are compared with each other as far as they share two such seeds that stand as
+   a chain may begin (see 2). First a few of the documents with the same two
+   seeds, HEADS of them, are compared with all others; then those that are still not settled with every document
+   that has both seeds. So edited passages whose seeds belong to others are found whoever owns them, no number of
+   documents with a seed is too high, and the pairs of a group of edited copies grow with its documents, not with
+   their square. Only documents that share two seeds and no passage are compared all with all.
 
 Only links and the words near them are shuffled, and a join of seeds with owners can be split where
 many documents share a seed. Repeats inside one document are not reported. Rows with the same id count
@@ -56,6 +59,8 @@ GAP_COST = 0.05
 LONG = LEAST - WINDOW + 1
 #: Words from first to last of a chain; the ends of a passage hold no seed.
 SPAN = max(K, LEAST - 2 * (K + WINDOW))
+#: Numbers of documents with the same two unsettled seeds that the others are compared with, by round; at last all (None).
+HEADS = (8, None)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STRETCH = np.uint64(0xD6E8FEB86659FD93)
 _NO_ID = -(1 << 63)
@@ -392,30 +397,82 @@ def unsettled(links: DataFrame, found: DataFrame) -> DataFrame:
     return store(open_.join(settled.select("seed", "doc", "at").distinct(), ["seed", "doc", "at"], "left_anti"), "unsettled")
 
 
-def _seed_pairs(places: DataFrame, least: int, most: int) -> DataFrame:
-    """(s, t, doc, owns): seeds of a document with t from `least` to `most` words behind s; whether it owns both."""
-    part = F.floor(F.col("at") / most)
-    first = places.select("doc", F.col("seed").alias("s"), F.col("at").alias("s_at"), F.col("owns").alias("owns_s"), F.explode(F.array(part, part + 1)).alias("part"))
-    second = places.select("doc", F.col("seed").alias("t"), F.col("at").alias("t_at"), F.col("owns").alias("owns_t"), part.alias("part"))
-    apart = F.col("t_at") - F.col("s_at")
-    both = first.join(second, ["doc", "part"]).filter((apart >= least) & (apart <= most))
-    return both.select("s", "t", "doc", (F.col("owns_s") & F.col("owns_t")).alias("owns"))
-
+def _seed_pairs(places: DataFrame) -> DataFrame:
+    """(s, t, doc, behind, apart): two seeds of a document as a chain may begin with them, where several documents have
+    both; stored.
 
-def further_links(links: DataFrame) -> DataFrame:
-    """Links of all pairs of documents of unsettled links that may have a chain, beside those known by then."""
+    A chain begins with a segment of SPAN words, or with a shorter one and the first seed of the next segment, a gap off.
+    So its first seed s and a seed t are at most SPAN + MOST_GAP words apart in both texts. In the owner they stand
+    `apart`, at their first places there; no number if an owner of both, which was compared by then. For each place of t
+    in the document, `behind` holds how far it is from places of s.
+    """
+    most = SPAN + MOST_GAP
+    part = F.floor(F.col("at") / most)
+    columns = lambda c: [F.col("seed").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in ("at", "first", "owns")]]
+    before = places.select("doc", *columns("s"), F.explode(F.array(part, part + 1)).alias("part"))
+    both = before.join(places.select("doc", *columns("t"), part.alias("part")), ["doc", "part"])
+    both = both.withColumn("apart", F.col("t_at") - F.col("s_at")).filter(F.col("apart").between(K, most) & (F.col("s") != F.col("t")))
+    rows = both.groupBy("s", "t", "doc", "t_at").agg(
+        F.collect_set("apart").alias("behind"),
+        F.max(F.when((F.col("s_at") == F.col("s_first")) & (F.col("t_at") == F.col("t_first")), F.col("apart"))).alias("apart"),
+        F.max(F.col("s_owns") & F.col("t_owns")).alias("known"),
+    )
+    rows = rows.groupBy("s", "t", "doc").agg(F.collect_list("behind").alias("behind"), F.max("apart").alias("apart"), F.max("known").alias("known"))
+    rows = store(rows.select("s", "t", "doc", "behind", F.when(~F.col("known"), F.col("apart")).alias("apart")), "seed-pairs")
+    several = rows.groupBy("s", "t").agg(F.min(F.when(F.col("apart").isNotNull(), F.col("doc"))).alias("least"), F.max("doc").alias("last"))
+    return store(rows.join(several.filter("least < last").select("s", "t"), ["s", "t"]), "shared-pairs")
+
+
+def _partners(rows: DataFrame, buckets: int | None) -> DataFrame:
+    """(doc, owner) of documents that may have a chain and of which one is open in its first two seeds; of the owners
+    only the least of each bucket of each two seeds (None: all)."""
+    owners = rows.filter("apart IS NOT NULL").select("s", "t", F.col("doc").alias("owner"), "apart", F.col("open").alias("owner_open"))
+    if buckets:
+        least = owners.groupBy("s", "t", F.pmod(F.hash("owner"), F.lit(buckets)).alias("bucket")).agg(F.min(F.struct(*owners.columns[2:])).alias("head"))
+        owners = least.select("s", "t", "head.*")
+    # t is not the first seed of a segment if s stands on the same diagonal just before it
+    begins = (F.col("apart") >= SPAN - K) | F.exists("behind", lambda x: ~F.array_contains(x, F.col("apart")))
+    pairs = rows.drop("apart").join(owners, ["s", "t"]).filter((F.col("doc") > F.col("owner")) & (F.col("open") | F.col("owner_open")) & begins)
+    return pairs.select("doc", "owner").distinct()
+
+
+def _still_open(rows: DataFrame, places: DataFrame, found: DataFrame) -> DataFrame:
+    """`rows` of `_seed_pairs` less the seeds without an open document; a document is open where no passage of `found`
+    leads from one of its seeds to another document that has the seed there. Stored."""
+    spans = found.select("doc", "start", "end", F.col("owner").alias("other"), "owner_start", "owner_end")
+    spans = spans.union(found.select("owner", "owner_start", "owner_end", "doc", "start", "end"))
+    partners = places.select("seed", F.col("doc").alias("other"), F.col("at").alias("other_at"))
+    inside = places.join(spans, "doc").filter(_within("at", "start", "end"))
+    settled = inside.join(partners, ["seed", "other"]).filter(_within("other_at", "owner_start", "owner_end"))
+    settled = settled.select("seed", "doc", "at").distinct()
+    left = places.join(settled, ["seed", "doc", "at"], "left_anti").select("seed", "doc").distinct()
+    left = store(left, "open-places")
+    for seed in ("s", "t"):
+        rows = rows.join(left.select(F.col("seed").alias(seed), "doc", F.lit(True).alias(f"open_{seed}")), [seed, "doc"], "left")
+    still = F.col("open") & (F.col("open_s").isNotNull() | F.col("open_t").isNotNull())
+    rows = store(rows.select("s", "t", "doc", "behind", "apart", still.alias("open")), "marked-pairs")
+    return store(rows.join(rows.filter("open").select("s", "t").distinct(), ["s", "t"], "left_semi"), "open-pairs")
+
+
+def further_passages(links: DataFrame, named: DataFrame) -> DataFrame:
+    """Passages of documents of unsettled links, and their owners, with each other, beside those known by then."""
     mine = links.select("seed", "doc", "at", F.lit(False).alias("owns"))
     owners = links.select("seed", F.col("owner").alias("doc"), F.col("owner_at").alias("at"), F.lit(True).alias("owns")).distinct()
     places = store(mine.union(owners), "unsettled-places")
-    # Of a chain's seeds, the first and the next that is SPAN - K words off are at most a gap farther apart; in the
-    # other text they follow one another over three gaps at most. An owner of both was compared by then.
-    mine = _seed_pairs(places, SPAN - K, SPAN + MOST_GAP + K).select("s", "t", "doc").distinct()
-    theirs = _seed_pairs(places, K, SPAN + 3 * (MOST_GAP + K)).groupBy("s", "t", F.col("doc").alias("owner"))
-    theirs = theirs.agg(F.max("owns").alias("known")).filter("NOT known").drop("known")
-    pairs = mine.join(theirs, ["s", "t"]).filter("doc > owner").select("doc", "owner").distinct()
-    pairs = store(pairs, "pairs")
-    theirs = places.groupBy("seed", F.col("doc").alias("owner")).agg(F.min("at").alias("owner_at"))
-    return pairs.join(places, "doc").join(theirs, ["seed", "owner"]).select("doc", "owner", "at", "owner_at")
+    firsts = store(places.groupBy("seed", "doc").agg(F.min("at").alias("first")), "first-places")
+    rows = _seed_pairs(places.join(firsts, ["seed", "doc"])).withColumn("open", F.lit(True))
+    firsts = firsts.select("seed", F.col("doc").alias("owner"), F.col("first").alias("owner_at"))
+    found = compared = None
+    for buckets in HEADS:
+        pairs = _partners(rows, buckets)
+        pairs = store(pairs if compared is None else pairs.join(compared, ["doc", "owner"], "left_anti"), "pairs")
+        compared = pairs if compared is None else compared.union(pairs)
+        more = pairs.join(places, "doc").join(firsts, ["seed", "owner"]).select("doc", "owner", "at", "owner_at")
+        more = store(passages_along(more, named), "further-passages")
+        found = more if found is None else found.union(more)
+        if buckets:
+            rows = _still_open(rows, places, more)
+    return found
 
 
 def _hinted(rows: DataFrame) -> DataFrame:
@@ -496,7 +553,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     found = store(passages_along(links, named), "passages")
     more = passages_along(second_links(named, found), named)
     found = found.union(store(more.join(found, found.columns, "left_anti"), "more-passages"))
-    rest = passages_along(further_links(unsettled(links, found)), named)
+    rest = further_passages(unsettled(links, found), named)
     same = [F.col(f"r.{c}") == F.col(f"f.{c}") for c in ("doc", "owner")]
     inside = [F.col("r.start") >= F.col("f.start"), F.col("r.end") <= F.col("f.end")]
     rest = rest.alias("r").join(found.alias("f"), [*same, *inside], "left_anti")

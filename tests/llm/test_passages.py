@@ -95,3 +95,50 @@ def test_recall_against_all_pairs(table, seed):
     repeated = {i for i in every if any(every[i] & every[j] for j in every if j != i)}
     assert len(repeated) > 20 and not repeated - named(found)
     assert len(fuzzy & named(found)) >= 0.9 * len(fuzzy)
+
+
+def edited_copies(rng, n):
+    """Copies of a passage, each edited elsewhere, whose seeds belong to documents with pieces of it."""
+    whole, texts = prose(rng, 120), {}
+    for i, a in enumerate(range(0, 108, 12)):
+        texts[i] = [*prose(rng, 30), *whole[max(a - 8, 0) : a + 20], *prose(rng, 30)]
+    for i in range(50, 50 + n):
+        edits = {k + rng.randrange(6) for k in range(0, 120, 24)}
+        texts[i] = [*prose(rng, 20), *[f"edit{i}x{k}" if k in edits else w for k, w in enumerate(whole)], *prose(rng, 20)]
+    return texts
+
+
+def test_passages_of_edited_copies_grow_with_their_number(table):
+    texts = edited_copies(random.Random(7), 120)
+    docs = table("doc_id BIGINT, text STRING", *[(i, " ".join(w)) for i, w in texts.items()])
+    found = passages.repeated_passages(docs).collect()
+    check(texts, found)
+    assert set(range(50, 170)) <= named(found)
+    assert len({(r.doc_id, r.source_id) for r in found}) < 120 * 30  # of 7,140 pairs
+
+
+def test_a_short_line_that_stands_twice_makes_no_pairs(spark, table, monkeypatch):
+    rng, pairs = random.Random(11), []
+    line = prose(rng, 13)
+    texts = {i: [*line, *prose(rng, 17 + i), *line, *prose(rng, 30)] for i in range(40)}
+    whole = prose(rng, 90)
+    texts |= {i: [*prose(rng, i), *whole[: 40 + i % 2], *prose(rng, 4), *whole[44:]] for i in (100, 101)}
+    docs = table("doc_id BIGINT, text STRING", *[(i, " ".join(w)) for i, w in texts.items()])
+    chains = passages.chains_of
+
+    def counted(links):
+        pairs.append(links.select("doc", "owner").distinct().count())
+        return chains(links)
+
+    monkeypatch.setattr(passages, "chains_of", counted)
+    found = passages.repeated_passages(docs).collect()
+    check(texts, found)
+    assert named(found) == {100, 101} and sum(pairs[2:]) < 250  # of 780
+
+
+def test_a_few_heads_name_the_documents_that_all_pairs_name(table, monkeypatch):
+    texts = edited_copies(random.Random(3), 20)
+    docs = table("doc_id BIGINT, text STRING", *[(i, " ".join(w)) for i, w in texts.items()])
+    some = named(passages.repeated_passages(docs).collect())
+    monkeypatch.setattr(passages, "HEADS", (None,))
+    assert some == named(passages.repeated_passages(docs).collect())
