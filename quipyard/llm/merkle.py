@@ -63,18 +63,20 @@ def leaf_hash(columns: Sequence[Column]) -> Column:
 
 
 def pack_ids(low: np.ndarray, count: np.ndarray) -> bytes:
-    """Chunk of distinct places below CHUNK with their numbers of rows, compressed.
+    """Chunk of distinct places with their numbers of rows, compressed.
 
-    Holds the directory, the bitmap, and places and numbers of rows where that is not 1.
+    Holds the number of entries, which covers CHUNK places and those behind them that are there (65,536 at most),
+    the directory, the bitmap, and places and numbers of rows where that is not 1.
     """
-    bits = np.zeros(CHUNK, dtype=np.uint8)
+    entries = max(CHUNK // ENTRY, int(low.max(initial=0)) // ENTRY + 1)
+    bits = np.zeros(entries * ENTRY, dtype=np.uint8)
     bits[low] = 1
     packed = np.packbits(bits, bitorder="little")
     per_entry = bits.reshape(-1, ENTRY).sum(axis=1, dtype=np.int64)
     directory = (np.cumsum(per_entry) - per_entry).astype("<u2")
     many = np.flatnonzero(count > 1)
     extra = low[many].astype("<u2").tobytes() + count[many].astype("<i8").tobytes()
-    return zlib.compress(directory.tobytes() + packed.tobytes() + extra, 1)
+    return zlib.compress(np.array([entries], "<u2").tobytes() + directory.tobytes() + packed.tobytes() + extra, 1)
 
 
 class Bitmap:
@@ -82,10 +84,10 @@ class Bitmap:
 
     def __init__(self, packed: bytes):
         data = zlib.decompress(packed)
-        entries = CHUNK // ENTRY
+        entries, data = int.from_bytes(data[:2], "little"), data[2:]
         self.directory = np.frombuffer(data, "<u2", entries).astype(np.int64)
-        self.words = np.frombuffer(data, "<u8", CHUNK // 64, 2 * entries)
-        rest = data[2 * entries + CHUNK // 8 :]
+        self.words = np.frombuffer(data, "<u8", entries * ENTRY // 64, 2 * entries)
+        rest = data[2 * entries + entries * ENTRY // 8 :]
         many = len(rest) // 10
         self.repeated = np.frombuffer(rest, "<u2", many).astype(np.int64)
         self.count = np.frombuffer(rest, "<i8", many, 2 * many)

@@ -120,3 +120,10 @@ def test_fold_follows_reduce():
         root, paths = merkle.reduce_block(nodes, merkle.height(n))
         for at in {0, n // 2, n - 1}:
             assert merkle.fold(nodes[at], at, n, paths[at] + b"rest") == (root, b"rest")
+
+
+def test_bitmap_ranks_behind_the_chunk():
+    low, count = np.array([5, merkle.CHUNK - 1, merkle.CHUNK, 9000, 65535]), np.array([1, 3, 1, 2, 1])
+    bitmap = merkle.Bitmap(merkle.pack_ids(low, count))
+    assert bitmap.rank(low).tolist() == [0, 1, 4, 5, 7]
+    assert [x.tolist() for x in bitmap.places()] == [low.tolist(), count.tolist()]
