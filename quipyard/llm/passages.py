@@ -66,6 +66,8 @@ _STRETCH = np.uint64(0xD6E8FEB86659FD93)
 _NO_ID = -(1 << 63)
 #: Rows, each of a document or a chain of the second owners, up to which they are broadcast; beyond, they are joined.
 BROADCAST_ROWS = 20_000
+#: Words of 64 bits, 8 MB in all, that tell which documents have a chain.
+SLOTS = 1 << 20
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -487,11 +489,29 @@ def chains_of(links: DataFrame) -> DataFrame:
     return links.repartition(*pairs).sortWithinPartitions(*pairs).mapInArrow(_chains, f"doc BIGINT, owner BIGINT, path {_PATH}")
 
 
-def _cut_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """16-bit codes of all words of each text."""
-    for batch in batches:
-        data = [(words >> np.uint64(16)).astype("<u2").tobytes() for words in _words_of(batch)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(data, pa.binary())], ["doc", "codes"])
+def _documents(ids: DataFrame) -> np.ndarray:
+    """Bits of the ids in a column `doc`, SLOTS words of 64; ids that are equal in those bits share one."""
+    slot, bit = F.col("doc").bitwiseAND(F.lit(SLOTS - 1)), F.shiftright("doc", SLOTS.bit_length() - 1).bitwiseAND(F.lit(63))
+    table = ids.select(slot.alias("slot"), F.expr("1L").alias("one"), bit.cast("int").alias("bit")).groupBy("slot")
+    table = table.agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("bits")).toArrow()  # SLOTS rows at most
+    bits = np.zeros(SLOTS, np.uint64)
+    bits[table["slot"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
+def _codes_of(named: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc, codes): 16-bit codes of all words of the documents with one of the ids, and of few others."""
+    shared = named.sparkSession.sparkContext.broadcast(_documents(ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc = batch.column("doc").to_numpy()
+            shift = (doc >> (SLOTS.bit_length() - 1) & 63).astype(np.uint64)
+            batch = batch.filter(pa.array((shared.value[doc & (SLOTS - 1)] >> shift & np.uint64(1)).astype(bool)))
+            data = [(words >> np.uint64(16)).astype("<u2").tobytes() for words in _words_of(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(data, pa.binary())], ["doc", "codes"])
+
+    return named.mapInArrow(run, "doc BIGINT, codes BINARY")
 
 
 _PASSAGE = (
@@ -531,9 +551,9 @@ def passages_along(links: DataFrame, named: DataFrame) -> DataFrame:
     wanted = chains.select("chain", F.lit(True).alias("own"), "doc", F.col("a_from").alias("at"), F.col("a_to").alias("to")).union(
         chains.select("chain", F.lit(False), "owner", "b_from", "b_to")
     )
+    codes = _codes_of(named, wanted.select("doc"))  # the other texts are not shuffled
     if chains.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    codes = named.mapInArrow(_cut_regions, "doc BIGINT, codes BINARY")
     # the words of each region, two bytes each, meet under the number of the chain
     regions = wanted.join(codes, "doc").select(
         "chain", "own", F.expr("substring(codes, 2 * at + 1, 2 * (to - at))").alias("part")

@@ -142,3 +142,10 @@ def test_a_few_heads_name_the_documents_that_all_pairs_name(table, monkeypatch):
     some = named(passages.repeated_passages(docs).collect())
     monkeypatch.setattr(passages, "HEADS", (None,))
     assert some == named(passages.repeated_passages(docs).collect())
+
+
+def test_only_texts_with_a_chain_are_fetched(table):
+    ids = [0, 5, -1, -(1 << 63), (1 << 20) + 7, 1 << 40, 3]
+    named = table("doc BIGINT, words BINARY", *[(i, np.arange(4, dtype="<u4").tobytes()) for i in [*ids, 6, 7, 1 << 21]])
+    found = passages._codes_of(named, table("doc BIGINT", *[(i,) for i in ids[:-1]])).collect()
+    assert {r.doc for r in found} == {*ids[:-1]} and all(len(r.codes) == 8 for r in found)
