@@ -147,6 +147,90 @@ def test_tree_equals_its_definition(table, monkeypatch, shares):
     assert len(held) == sum(zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in docs if i is not None)
 
 
+def scores_by_definition(docs):
+    """Scores with every context that stands twice, by dictionaries of counts."""
+    lm = suffix_tree_lm
+    tokens = [[*(t or "").lower().split(), "\n"] for _, t in docs]
+    training = [w for (i, _), w in zip(docs, tokens) if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    c = Counter(x for w in training for x in w)
+    mass = sum(c.values()) + len(c) + 1
+    root = lambda w: (c[w] + 1) / mass
+    behind, length, level = {}, 0, [(w, k) for w in training for k in range(1, len(w))]
+    nodes = set()
+    while level:
+        length += 1
+        found = {}
+        for w, k in level:
+            found.setdefault(tuple(w[k - length : k]), Counter())[w[k]] += 1
+        found = {s: n for s, n in found.items() if sum(n.values()) >= lm.SEEN}
+        behind |= found
+        for s, n in found.items():
+            size = sum(n.values())
+            above = behind.get(s[1:])
+            of = sum(above.values()) if above else 0
+            if sum(m / size * math.log(m / size / (above[x] / of if above else root(x))) for x, m in n.items()) >= lm.DIVERGENCE:
+                nodes |= {s[j:] for j in range(len(s))}
+        level = [(w, k) for w, k in level if k > length and len(found.get(tuple(w[k - length : k]), ())) > 1]
+
+    def score(w):
+        total = 0.0
+        for k, x in enumerate(w):
+            p, n = root(x), 1
+            while n <= k and tuple(w[k - n : k]) in nodes:
+                own = behind[tuple(w[k - n : k])]
+                size = sum(own.values())
+                p = max(own[x] - lm.DISCOUNT, 0) / size + lm.DISCOUNT * len(own) / size * p
+                n += 1
+            total += math.log10(p)
+        return total
+
+    return [score(w) for w in tokens], max(map(len, nodes))
+
+
+def odd_corpus(seed):
+    """Near copies, texts that repeat themselves, and a context that diverges only as a whole."""
+    pick = random.Random(seed)
+    words = [f"w{i}" for i in range(25)]
+    docs = [(i, " ".join(pick.choices(words, k=pick.randint(0, 60)))) for i in range(80)]
+    for i in range(12):
+        copy = docs[pick.randrange(80)][1].split()
+        for _ in range(pick.randint(0, 2)):
+            if copy:
+                copy[pick.randrange(len(copy))] = pick.choice(words)
+        docs += [(200 + i, " ".join(copy))]
+    docs += [(300, "a " * 70), (301, "a " * 90), (302, "b a " * 40 + "c"), (303, "b a " * 30), (None, "w1 w2"), (304, None), (305, " ")]
+    # after "y m1 ... m9" comes e1, after "z m1 ... m9" e2; shorter contexts with m9 see both, 40 times each
+    middle = " ".join(f"m{i}" for i in range(1, 10))
+    docs += [(400 + i, f"{first} {middle} {last}") for i in range(40) for first, last in (("y", "e1"), ("z", "e2"))]
+    return docs
+
+
+@pytest.mark.parametrize("lengths", [(1, 2), (2, 3), (3, 11)])
+def test_every_context_that_stands_twice_counts(table, monkeypatch, lengths):
+    for name, value in zip(("FIRST", "SECOND", "PART_TOKENS"), (*lengths, 1500)):
+        monkeypatch.setattr(suffix_tree_lm, name, value)
+    docs = odd_corpus(lengths[0])
+    frame = table("doc_id BIGINT, text STRING", *docs)
+    want, longest = scores_by_definition(docs)
+    assert longest > 11
+    rows = suffix_tree_lm.score_texts(frame).collect()
+    found = sorted((str(r.doc_id), r.n_tokens, r.score) for r in rows)
+    want = sorted((str(i), len((t or "").split()) + 1, s) for (i, t), s in zip(docs, want))
+    assert [f[:2] for f in found] == [w[:2] for w in want]
+    assert np.allclose([f[2] for f in found], [w[2] for w in want], rtol=1e-9, atol=1e-9)
+
+
+def test_a_long_context_alone_diverges(table):
+    """Shorter contexts leave open what follows; a common text makes their share of the corpus small."""
+    middle = " ".join(f"m{i}" for i in range(1, 15))
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2]
+    docs = [(i, f"{'yz'[k % 2]} {middle} e{k % 2}") for k, i in enumerate(ids[:8])]
+    docs += [(i, " ".join(f"t{j}x{i}" for j in range(5000))) for i in ids[8:]]
+    rows = {r.doc_id: r.score - r.base_score for r in suffix_tree_lm.score_texts(table("doc_id BIGINT, text STRING", *docs)).collect()}
+    assert scores_by_definition(docs)[1] == 15
+    assert all(rows[i] > 30 for i in ids[:8])
+
+
 def test_no_training_text(table):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     docs = table("doc_id BIGINT, text STRING", (held, "a b"))
